@@ -34,8 +34,14 @@ def signal_line(when: Column, signals: Sequence[Column]) -> Column:
 
 
 def signal_time(text: Column) -> Column:
-    """Timestamp of a date/time text; NULL where it does not parse."""
-    return F.try_to_timestamp(text, F.lit(READ_TIME_PATTERN))
+    """Timestamp of a date/time text; NULL where it does not parse.
+
+    Text in the written form takes the plain pattern, which parses about twice as
+    fast as the one with optional parts.
+    """
+    plain = F.try_to_timestamp(text, F.lit(WRITE_TIME_PATTERN))
+    other = F.try_to_timestamp(text, F.lit(READ_TIME_PATTERN))
+    return F.when(F.length(text) == len(WRITE_TIME_PATTERN), plain).otherwise(other)
 
 
 def number(text: Column) -> Column:
