@@ -18,23 +18,22 @@ def sliding_rows(df: DataFrame, time: str, length: str, slide: str) -> DataFrame
 def collect_windows(
     rows: DataFrame,
     arrays: dict[str, str],
-    spread: str,
+    number: str,
     max_array: int = MAX_ARRAY,
+    deal: Column | None = None,
 ) -> DataFrame:
-    """Values per window as arrays: ``{array name: column}``, in ``spread`` order.
+    """Values per window as arrays, ``{array name: column}``, in order of a record number.
 
-    A window with more than ``max_array`` rows is cut into numbered parts, so a
-    hot window never has to fit into one array or one task; the parts of a
-    window hold all of its rows. ``spread`` is an evenly distributed integer
-    column, such as a record number, that deals the rows to the parts.
+    A window with more than ``max_array`` rows is cut into numbered parts of
+    about that size, so a hot window never has to fit into one array or one
+    task; the parts of a window hold all of its rows. ``deal`` is the evenly
+    spread integer that assigns rows to parts, by default a hash of the number.
     """
     sizes = rows.groupBy("window").agg(
         F.ceil(F.count("*") / F.lit(max_array)).cast("long").alias("parts")
     )
-    dealt = rows.join(sizes, "window").withColumn(
-        "part", F.pmod(F.col(spread), F.col("parts"))
-    )
-    return _collected(dealt, ["window", "part"], arrays, spread)
+    dealt = rows.join(sizes, "window").withColumn("part", _part(number, F.col("parts"), deal))
+    return _collected(dealt, ["window", "part"], arrays, number)
 
 
 def collect_windows_live(
@@ -43,9 +42,10 @@ def collect_windows_live(
     length: str,
     slide: str,
     arrays: dict[str, str],
-    spread: str,
+    number: str,
     watermark: str,
     parts: int = 1,
+    deal: Column | None = None,
 ) -> DataFrame:
     """The same on a stream, where the number of parts per window is set beforehand.
 
@@ -54,10 +54,8 @@ def collect_windows_live(
     """
     if parts < 1:
         raise ValueError(f"a window has at least one part, got {parts}")
-    timed = df.withWatermark(time, watermark).withColumn(
-        "part", F.pmod(F.col(spread), F.lit(parts)).cast("long")
-    )
-    return _collected(timed, [F.window(time, length, slide).alias("window"), "part"], arrays, spread)
+    timed = df.withWatermark(time, watermark).withColumn("part", _part(number, F.lit(parts), deal))
+    return _collected(timed, [F.window(time, length, slide).alias("window"), "part"], arrays, number)
 
 
 def newest_first(windows: DataFrame) -> DataFrame:
@@ -65,10 +63,15 @@ def newest_first(windows: DataFrame) -> DataFrame:
     return windows.orderBy(F.col("window.start").desc(), "part")
 
 
+def _part(number: str, parts: Column, deal: Column | None) -> Column:
+    spread = F.xxhash64(number) if deal is None else deal
+    return F.pmod(spread, parts).cast("long")
+
+
 def _collected(
-    df: DataFrame, keys: Sequence[str | Column], arrays: dict[str, str], spread: str
+    df: DataFrame, keys: Sequence[str | Column], arrays: dict[str, str], number: str
 ) -> DataFrame:
-    fields = [F.col(spread).alias("_order")]
+    fields = [F.col(number).alias("_order")]
     fields += [F.col(column).alias(name) for name, column in arrays.items()]
     grouped = df.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias("_values")

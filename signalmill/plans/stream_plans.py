@@ -108,7 +108,8 @@ _SLIDING = """
   sized AS (
     SELECT *, CAST(ceil(count(*) OVER (PARTITION BY window_start) / 50.0) AS BIGINT) AS parts
     FROM w)
-  SELECT window_start, window_start + INTERVAL 4 HOUR AS window_end, event_id % parts AS part,
+  SELECT window_start, window_start + INTERVAL 4 HOUR AS window_end,
+         CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % parts AS part,
          string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids,
          string_agg(event_type, ',' ORDER BY event_id) AS names
   FROM sized GROUP BY 1, 2, 3"""
@@ -116,7 +117,10 @@ _SLIDING = """
 
 def _windows(rows):
     arrays = {"ids": "event_id", "names": "event_type"}
-    windows = newest_first(collect_windows(rows, arrays, "event_id", max_array=50))
+    # Dealt by a digest that SQL can compute as well.
+    digest = F.substring(F.md5(F.col("event_id").cast("string")), 1, 8)
+    deal = F.conv(digest, 16, 10).cast("long")
+    windows = newest_first(collect_windows(rows, arrays, "event_id", max_array=50, deal=deal))
     return windows.select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         F.col("window.end").cast("timestamp_ntz").alias("window_end"),

@@ -24,7 +24,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, max_bytes_per_trigger: str | None = None
+    spark: SparkSession, folder: str, name: str, max_bytes_per_trigger: int | None = None
 ) -> DataFrame:
     """The same table as a stream.
 

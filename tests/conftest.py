@@ -1,0 +1,66 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from signalmill.session import build_session  # noqa: E402
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[8]",
+        4,
+        {
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder():
+    return FOLDER
+
+
+@pytest.fixture
+def where(tmp_path):
+    """Makes paths below a fresh folder."""
+    return lambda name: str(tmp_path / name)
+
+
+@pytest.fixture
+def set_conf(spark):
+    """Sets session options for one test."""
+    before = {}
+
+    def set_one(key, value):
+        before.setdefault(key, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+
+    yield set_one
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def rows(df):
+    """Rows as sorted tuples."""
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def plan(df):
+    """The formatted plan, after running it."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
