@@ -117,13 +117,20 @@ def datapoints_per_day(signals: DataFrame) -> DataFrame:
 
 
 def hourly_signal_avg(signals: DataFrame) -> DataFrame:
-    """Average of every map entry per hour of day, without hour 0, in hour order."""
-    entries = F.col("signals")
+    """Average of every signal per hour of day, without hour 0, in hour order.
+
+    Takes the map or the wide form. From a stored table the wide form reads less,
+    because a map column is read with all its entries.
+    """
+
+    def value(s):
+        return F.col("signals")[s.label] if "signals" in signals.columns else F.col(s.column)
+
     return (
         signals.withColumn("hour", F.hour("signal_ts"))
         .where(F.col("hour") != 0)
         .groupBy("hour")
-        .agg(*[F.avg(entries[s.label]).alias(s.label) for s in SIGNALS])
+        .agg(*[F.avg(value(s)).alias(s.label) for s in SIGNALS])
         .orderBy("hour")
     )
 

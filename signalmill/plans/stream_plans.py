@@ -18,9 +18,9 @@ from signalmill.plans.signal_data import (
     rounded,
 )
 from signalmill.session import scratch_path, shuffle_partitions
-from signalmill.sinks.topics import append_to_topic
+from signalmill.sinks.topics import append_to_topic, json_records
 from signalmill.sources.files import table, table_stream
-from signalmill.sources.topics import Topic, signals_of, stream_topic
+from signalmill.sources.topics import Topic, json_values, signals_of, stream_topic
 from signalmill.streaming.runner import run_available
 from signalmill.streaming.tables import (
     append_writer,
@@ -138,8 +138,15 @@ def sliding_window_collect(spark, folder):
 
 @CATALOGUE.query("stream_sliding_collect", _SLIDING)
 def stream_sliding_collect(spark, folder):
-    """The stream lands the rows of each window without state; reading builds the arrays."""
-    events = table_stream(spark, folder, "events").select("ts", "event_id", "event_type")
+    """A topic of JSON events, whose stream lands the rows of each window without state.
+
+    Reading the landed rows builds the arrays.
+    """
+    topic = Topic("events", "json", path=scratch_path(spark, "topic-events"))
+    ddl = "event_id long, event_type string, ts timestamp_ntz"
+    columns = ["event_id", "event_type", "ts"]
+    append_to_topic(json_records(table(spark, folder, "events"), *columns), topic)
+    events = json_values(stream_topic(spark, topic), ddl).select("data.*")
     path = scratch_path(spark, "window-rows")
     rows = sliding_rows(events, "ts", "4 hours", "2 hours")
     run_available(append_writer(rows, path, scratch_path(spark, "checkpoint")))

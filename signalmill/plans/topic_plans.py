@@ -17,7 +17,7 @@ from signalmill.plans.signal_data import (
     event_signal_stream,
     event_values,
 )
-from signalmill.schemas import SIGNALS, TYPED_SIGNAL_DDL, WRITE_TIME_PATTERN
+from signalmill.schemas import JSON_EVENT_DDL, SIGNALS, TYPED_SIGNAL_DDL, WRITE_TIME_PATTERN
 from signalmill.session import scratch_path
 from signalmill.sinks.files import write_csv
 from signalmill.sinks.topics import append_to_topic, csv_records, json_records, topic_writer
@@ -135,6 +135,20 @@ def topic_json_encode(spark, folder):
     return json_values(read_topic(spark, topic), TYPED_SIGNAL_DDL).select("data.*")
 
 
+@CATALOGUE.query(
+    "topic_json_replay",
+    "SELECT CAST(event_id AS INTEGER) AS id, event_type AS name FROM events",
+)
+def topic_json_replay(spark, folder):
+    """The whole log of a topic of JSON events."""
+    topic = _topic(spark, "events", "json")
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("name")
+    )
+    append_to_topic(json_records(events), topic)
+    return json_values(read_topic(spark, topic), JSON_EVENT_DDL).select("data.*")
+
+
 @CATALOGUE.query(
     "topic_latest",
     f"SELECT * FROM ({EVENT_SIGNALS}) s WHERE signal_date >= '{_CUT[:10]}'",

@@ -91,6 +91,7 @@ def test_hourly_average_leaves_out_hour_zero(signals):
     got = R.hourly_signal_avg(map_form(signals)).collect()
     assert [r["hour"] for r in got] == [1, 2, 3]
     assert got[0]["LV ActivePower (kW)"] == 0.25
+    assert rows(R.hourly_signal_avg(signals)) == rows(R.hourly_signal_avg(map_form(signals)))
 
 
 def test_datapoints_are_distinct_times(signals):

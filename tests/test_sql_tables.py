@@ -26,7 +26,9 @@ def test_append_twice_is_append_once(spark, db):
     for batch_id, batch in ((0, frame(spark, (1, 1.0))), (1, frame(spark, (1, 1.0), (2, 2.0)))):
         for _ in range(2):
             K.apply_batch(batch, batch_id, db, "t", "append")
-    assert rows(read_sql_table(spark, db, "t")) == [(1, 1.0, 0), (1, 1.0, 1), (2, 2.0, 1)]
+    found = read_sql_table(spark, db, "t")
+    assert rows(found.select("k", "v", "batch_id")) == [(1, 1.0, 0), (1, 1.0, 1), (2, 2.0, 1)]
+    assert found.select("batch_id", "row_id").distinct().count() == 3
 
 
 def test_refresh_replaces_all(spark, db):
