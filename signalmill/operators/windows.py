@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalmill.session import scratch_path
+
 MAX_ARRAY = 100_000
 
 
@@ -28,10 +30,16 @@ def collect_windows(
     about that size, so a hot window never has to fit into one array or one
     task; the parts of a window hold all of its rows. ``deal`` is the evenly
     spread integer that assigns rows to parts, by default a hash of the number.
+
+    The window sizes are counted at once and kept as a small table, whose known
+    size lets Spark broadcast it instead of shuffling the rows for the join.
     """
-    sizes = rows.groupBy("window").agg(
+    counted = rows.groupBy("window").agg(
         F.ceil(F.count("*") / F.lit(max_array)).cast("long").alias("parts")
     )
+    path = scratch_path(rows.sparkSession, "window-sizes")
+    counted.write.parquet(path)
+    sizes = rows.sparkSession.read.schema(counted.schema).parquet(path)
     dealt = rows.join(sizes, "window").withColumn("part", _part(number, F.col("parts"), deal))
     return _collected(dealt, ["window", "part"], arrays, number)
 

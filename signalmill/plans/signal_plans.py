@@ -116,7 +116,7 @@ def hourly_signal_avg_query(spark, folder):
         FROM ({_HOURLY}) h""",
 )
 def generation_indicator(spark, folder):
-    hourly = hourly_signal_avg(map_form(event_signals(spark, folder)))
+    hourly = hourly_signal_avg(event_signals(spark, folder))
     return with_generation_indicator(hourly, bands=_BANDS).select("hour", "generation_indicator")
 
 
@@ -130,7 +130,7 @@ def generation_indicator(spark, folder):
         FROM ({_HOURLY}) h""",
 )
 def rename_by_mapping_query(spark, folder):
-    hourly = hourly_signal_avg(map_form(event_signals(spark, folder)))
+    hourly = hourly_signal_avg(event_signals(spark, folder))
     banded = with_generation_indicator(hourly, bands=_BANDS)
     mapping = json_table(spark, SIGNAL_MAPPING_JSON, SIGNAL_MAPPING_DDL)
     renamed = rename_by_mapping(banded, mapping)
