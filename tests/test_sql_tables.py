@@ -1,3 +1,4 @@
+import time
 import uuid
 
 import pytest
@@ -44,6 +45,27 @@ def test_upsert_replaces_by_key_null_included(spark, db):
     assert rows(read_sql_table(spark, db, "t")) == [(1, 1.0), (2, 5.0), (4, 6.0), (None, 7.0)]
 
 
+def test_upsert_by_two_keys(spark, db):
+    def batch(*data):
+        return spark.createDataFrame(list(data), "y int, k int, v double")
+
+    K.apply_batch(
+        batch((1, 1, 1.0), (1, None, 2.0), (None, None, 3.0), (2, 1, 4.0)),
+        0, db, "t", "upsert", ["y", "k"],
+    )
+    K.apply_batch(batch((1, None, 5.0), (2, 1, 6.0)), 1, db, "t", "upsert", ["y", "k"])
+    got = rows(read_sql_table(spark, db, "t"))
+    assert got == [(1, 1, 1.0), (1, None, 5.0), (2, 1, 6.0), (None, None, 3.0)]
+
+
+def test_moving_many_rows_takes_one_pass(spark, db):
+    data = spark.range(0, 60_000, 1, 6).selectExpr("cast(id AS int) AS k", "1.0D AS v")
+    begun = time.time()
+    K.write_sql_table(data, db, "t")
+    assert read_sql_table(spark, db, "t", split_by="k").count() == 60_000
+    assert time.time() - begun < 60
+
+
 def test_upsert_needs_keys(spark, db):
     with pytest.raises(ValueError, match="key"):
         K.batch_sink(db, "t", "update", "upsert")
