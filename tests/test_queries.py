@@ -3,8 +3,10 @@
 import pytest
 from conftest import FOLDER
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare, sql_tables
+from signalmill.plans import all_queries as queries
+from signalmill.plans import all_sql as oracle_sql
 
 NO_SQL = {"partition_sizes"}
 
