@@ -11,6 +11,16 @@ from signalmill.sources.files import table
 CATALOGUE = Catalogue()
 
 
+@CATALOGUE.query("op1_token_counts")
+def op1_token_counts(spark, folder):
+    from public_tokenizers import path
+
+    from signalmill.llm.token_counts import count_tokens
+
+    counted = count_tokens(table(spark, folder, "documents"), path("word_bpe_49k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
 @CATALOGUE.query("op2_quality_rules", sql.quality_rules())
 def op2_quality_rules(spark, folder):
     from signalmill.llm.quality import BASE, POLICIES, kept, ledger
