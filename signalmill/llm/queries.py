@@ -40,6 +40,21 @@ def op4_mix_sources(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+@CATALOGUE.query("op5_language_id")
+def op5_language_id(spark, folder):
+    from signalmill.llm.language import identify, train
+
+    docs = table(spark, folder, "documents")
+    return identify(docs, train(docs))
+
+
+@CATALOGUE.query("op9_fingerprints")
+def op9_fingerprints(spark, folder):
+    from signalmill.llm.fingerprints import fingerprints
+
+    return fingerprints(table(spark, folder, "documents"))
+
+
 @CATALOGUE.query("op10_license_scan", sql.license_scan())
 def op10_license_scan(spark, folder):
     from signalmill.llm.licenses import scan
