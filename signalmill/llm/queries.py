@@ -48,6 +48,15 @@ def op5_language_id(spark, folder):
     return identify(docs, train(docs))
 
 
+@CATALOGUE.query("op6_sentencepiece")
+def op6_sentencepiece(spark, folder):
+    from public_tokenizers import path
+
+    from signalmill.llm.pieces import encode
+
+    return encode(table(spark, folder, "documents"), path("piece_bpe_32k.model"))
+
+
 @CATALOGUE.query("op9_fingerprints")
 def op9_fingerprints(spark, folder):
     from signalmill.llm.fingerprints import fingerprints
