@@ -57,6 +57,17 @@ def op6_sentencepiece(spark, folder):
     return encode(table(spark, folder, "documents"), path("piece_bpe_32k.model"))
 
 
+@CATALOGUE.query("op8_line_dedup")
+def op8_line_dedup(spark, folder):
+    from signalmill.llm.lines import dedup_lines
+
+    kept = dedup_lines(table(spark, folder, "documents"))
+    return kept.select(
+        "doc_id", F.col("_removed").alias("n_removed"), F.col("_near").alias("n_near"),
+        F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 @CATALOGUE.query("op9_fingerprints")
 def op9_fingerprints(spark, folder):
     from signalmill.llm.fingerprints import fingerprints
