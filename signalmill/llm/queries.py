@@ -32,6 +32,13 @@ def op2_quality_rules(spark, folder):
     )
 
 
+@CATALOGUE.query("op3_jaccard_join")
+def op3_jaccard_join(spark, folder):
+    from signalmill.llm.jaccard import similar_documents
+
+    return similar_documents(table(spark, folder, "documents"))
+
+
 @CATALOGUE.query("op4_mix_sources", sql.mix_sources())
 def op4_mix_sources(spark, folder):
     from signalmill.llm.mixing import mix
