@@ -64,6 +64,14 @@ def op6_sentencepiece(spark, folder):
     return encode(table(spark, folder, "documents"), path("piece_bpe_32k.model"))
 
 
+@CATALOGUE.query("op7_personal_data")
+def op7_personal_data(spark, folder):
+    from signalmill.llm.personal import find, train
+
+    docs = table(spark, folder, "documents")
+    return find(docs, train(docs))
+
+
 @CATALOGUE.query("op8_line_dedup")
 def op8_line_dedup(spark, folder):
     from signalmill.llm.lines import dedup_lines
