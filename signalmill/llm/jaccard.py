@@ -331,3 +331,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     of_node = staged(named.select("node", "component").join(smallest, "component").select(F.col("node").alias("g"), "component_id"), "node-components")
     joined = run.sets.select("doc_id", "n_shingles", "node").join(of_node, F.col("node") == F.col("g"), "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those that are similar to another and do not have the smallest id of their component.
+
+    Rows that share an id stay or go together.
+    """
+    found = similar_documents(docs, id_col, text_col)
+    gone = found.where("doc_id IS DISTINCT FROM component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = staged(gone, "similar-ids")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")

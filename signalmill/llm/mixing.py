@@ -71,14 +71,14 @@ def mix(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source, source_size, target, copies, taken.
+    """One row per row of ``docs``: doc_id, draw, size, source, source_size, target, copies, taken.
 
     ``copies`` is at most ``most``. Without ``doc_weight`` all documents of a source have
     the same expected number of copies. A weight that is null or not above 0 counts as 0;
     if a source has no other, all its weights count as 1.
 
-    Null text has size 0 and null sources form a source of their own. Equal rows
-    (id and text) have the same rank, and all or none of them get the last copy.
+    Null text has size 0 and null sources form a source of their own. ``draw`` is the uniform
+    number, the same for equal rows (id and text); all or none of them get the last copy.
     An empty table gives an empty result; other columns are ignored.
     """
     gift = F.lit(1.0)
@@ -134,11 +134,21 @@ def mix(
     )
     copies = F.col("_whole") + more.cast("long")
     return _with_source(ranked, edges).select(
-        "doc_id", "size", "source", "source_size", "target",
+        "doc_id", F.col("_u").alias("draw"), "size", "source", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),
     )
 
 
+def mixed_documents(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as it has copies, with its columns as they are."""
+    found = mix(docs, seed=seed, id_col=id_col, text_col=text_col, **options).where("copies > 0")
+    taken = found.select(F.col("doc_id").alias("_id"), F.col("draw").alias("_d"), "copies").distinct()
+    drawn = docs.withColumn("_draw", uniform(seed, F.col(id_col), F.col(text_col)))
+    joined = drawn.join(taken, (F.col("_draw") == F.col("_d")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*docs.columns)
+
+
 def _edge(rows: DataFrame, missing: DataFrame, cell: Column) -> DataFrame:
     """Per source the first cell in which the words go past what is missing, and the words before it.
 

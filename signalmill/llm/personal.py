@@ -113,8 +113,8 @@ def features(text: str, a: int, b: int, word: str) -> tuple[str, ...]:
         found.append("plus")
     if "(" in s and ")" in s:
         found.append("parentheses")
-    if 13 <= len(digits) <= 19 and not letters and luhn(digits):
-        found.append("checksum")
+    if 13 <= len(digits) <= 19 and not letters:
+        found.append("checksum" if luhn(digits) else "no checksum")
     if len(parts) == 4 and all(p.isascii() and p.isdigit() and int(p) <= 255 for p in parts):
         found.append("octets")
     if "@" in s and len(parts[-1]) > 1 and parts[-1].isalpha() and s[0].isalnum():
