@@ -16,9 +16,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Leaves out texts without a letter and those whose language is in doubt; fills in a missing ``lang``."""
     from signalmill.llm.language import UNKNOWN, identified, train
 
-    found = docs.withColumn("_found", identified(train(docs), "text"))
-    sure = found.where((F.col("_found.lang_pred") != UNKNOWN) & ~F.col("_found.ambiguous"))
-    return sure.withColumn("lang", F.coalesce("lang", "_found.lang_pred")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), identified(train(docs), "text").alias("found"))
+    sure = rows.where((F.col("found.lang_pred") != UNKNOWN) & ~F.col("found.ambiguous"))
+    lang = F.coalesce("doc.lang", "found.lang_pred").alias("lang")
+    return sure.select(*[lang if c == "lang" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

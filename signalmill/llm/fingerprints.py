@@ -128,7 +128,7 @@ def _ranges(ids: DataFrame, parts: int) -> _Ranges:
     tops = ids.where("id IS NOT NULL").groupBy(number("id").alias("part")).agg(F.max("id").alias("top")).collect()
     tops = sorted((r["part"], r["top"]) for r in tops)
     before = [len(plain.cuts)] + [p for p, _ in tops[:-1]]  # the last range also holds the ids that are null
-    return _Ranges(plain.cuts, {top: b for b, (_, top) in zip(before, tops, strict=True)})
+    return _Ranges(plain.cuts, {top: b for b, (_, top) in zip(before, tops, strict=False)})
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

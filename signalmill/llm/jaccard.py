@@ -339,8 +339,8 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows that share an id stay or go together.
     """
     found = similar_documents(docs, id_col, text_col)
-    gone = found.where("doc_id IS DISTINCT FROM component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = found.where("doc_id IS DISTINCT FROM component_id").select(F.col("doc_id").alias("_similar_to_another")).distinct()
     gone = staged(gone, "similar-ids")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["_similar_to_another"]), "left_anti")

@@ -103,9 +103,9 @@ def within(a: str, b: str, edits: int) -> bool:
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, row, text; rows of one id and text count as one, and have one ``row``."""
-    text = text_or_empty(text_col)
-    row = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text)))
-    return docs.select(F.col(id_col).alias("id"), row.alias("row"), text.alias("text"))
+    return docs.select(
+        F.col(id_col).alias("id"), _row_mark(id_col, text_col).alias("row"), text_or_empty(text_col).alias("text")
+    )
 
 
 def line_table(docs: DataFrame, edits: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,16 +257,23 @@ def dedup_lines(docs: DataFrame, edits: int = 1, id_col: str = "doc_id", text_co
 
     The first line of each class stays. Blank lines are no repeats and stay. Null text stays
     null. Rows of one id and text count as one row and keep the same lines; a null id comes before others. Other
-    columns are kept as they are.
+    columns are kept as they are; input columns named like the two counts are replaced.
     """
     again = repeated_lines(docs, edits, id_col, text_col)
     # a row that stands twice gives its lines twice, so they are made distinct
     gone = again.groupBy("row").agg(
         F.collect_set("line").alias("_lines"), F.count_distinct(F.when(F.col("near"), F.col("line"))).alias("_near")
     ).withColumnRenamed("row", "_of")
-    row = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_or_empty(text_col))))
-    joined = docs.withColumn("_row", row).join(gone, F.col("_row") == F.col("_of"), "left")
-    text = F.when(F.col(text_col).isNotNull(), without(F.col(text_col), F.col("_lines")))
+    # input columns travel as one, so that none is taken for a helper
+    kept = [c for c in docs.columns if c not in ("_removed", "_near")]
+    own = docs.select(F.struct(*kept).alias("_doc"), _row_mark(id_col, text_col).alias("_row"))
+    joined = own.join(gone, F.col("_row") == F.col("_of"), "left")
+    old = F.col("_doc").getField(text_col)
+    text = F.when(old.isNotNull(), without(old, F.col("_lines")))
     removed = F.coalesce(F.size("_lines"), F.lit(0)).cast("long")
-    kept = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return joined.select(*kept, removed.alias("_removed"), F.coalesce("_near", F.lit(0)).alias("_near"))
+    columns = [text.alias(c) if c == text_col else F.col("_doc").getField(c).alias(c) for c in kept]
+    return joined.select(*columns, removed.alias("_removed"), F.coalesce("_near", F.lit(0)).alias("_near"))
+
+
+def _row_mark(id_col: str, text_col: str) -> Column:
+    return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), text_or_empty(text_col))))

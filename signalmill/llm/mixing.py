@@ -140,13 +140,15 @@ def mix(
 
 
 def mixed_documents(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as it has copies, with its columns as they are."""
-    found = mix(docs, seed=seed, id_col=id_col, text_col=text_col, **options).where("copies > 0")
+    """``docs`` as the mix takes them: each row as often as it has copies. Rows without a word go."""
+    found = mix(docs, seed=seed, id_col=id_col, text_col=text_col, **options).where("taken > 0")
     taken = found.select(F.col("doc_id").alias("_id"), F.col("draw").alias("_d"), "copies").distinct()
-    drawn = docs.withColumn("_draw", uniform(seed, F.col(id_col), F.col(text_col)))
-    joined = drawn.join(taken, (F.col("_draw") == F.col("_d")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    repeated = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    # input columns travel as one, so that none is taken for a helper
+    drawn = docs.select(
+        F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_own"), uniform(seed, F.col(id_col), F.col(text_col)).alias("_draw")
+    )
+    joined = drawn.join(taken, (F.col("_draw") == F.col("_d")) & F.col("_own").eqNullSafe(F.col("_id")))
+    return joined.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")
 
 
 def _edge(rows: DataFrame, missing: DataFrame, cell: Column) -> DataFrame:
