@@ -15,6 +15,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalmill.llm.blocks import blocks_of, distinct_terms, finish, pack, terms_of, unpack
+from signalmill.llm.blocks import blocks_of, finish, pack, terms_of, unpack
 from signalmill.llm.common import bound
 
 SPACE = "▁"
@@ -74,6 +75,8 @@ def load_pieces(path: str) -> Pieces:
 
 def units_of(word: str, pairs: set[str]) -> list[str]:
     """Cuts a word at its certain boundaries."""
+    if pairs.issuperset(map(add, word, word[1:])):
+        return [word]
     out, begin = [], 0
     for i in range(1, len(word)):
         if word[i - 1 : i + 1] not in pairs:
@@ -83,26 +86,51 @@ def units_of(word: str, pairs: set[str]) -> list[str]:
     return out
 
 
+#: Blanks in a row, at an end or beside a new line, and characters that mark words here.
+_UNEVEN = re.compile("  | \n| $|^ |\n\n|\n |\x00")
+_WHOLE = "\x00"
+
+
+class _Numbers(dict):
+    def __missing__(self, word: str) -> int:
+        self[word] = found = len(self)
+        return found
+
+
 class _Streams:
     """The block of texts as streams of unit numbers, frequent units first."""
 
     def __init__(self, path: str) -> None:
         self.pairs = load_pieces(path).pairs
-        self.word = re.compile("\n| *[^ \n]+| +" if not any("\n" in p for p in self.pairs) else " *[^ ]+| +")
-        self.words: dict[str, int] = {}
+        self.word = re.compile(" *[^ ]+| +")
+        #: Between two single blanks lies a word; new lines, if no piece holds them, end one as well.
+        self.breaks = not any("\n" in p for p in self.pairs)
+        self.words = _Numbers()
         self.texts: list[np.ndarray] = []
         self.hashes: list[bytes] = []
 
     def add(self, text: str) -> None:
-        number = self.words
-        found = [number.setdefault(w, len(number)) for w in self.word.findall(" " + text)] if text else []
+        if self.breaks and not _UNEVEN.search(text):
+            # split() does at once what the pattern does word by word
+            found = (" " + text).replace("\n", " \n").split(" ")[1:] if text else []
+        else:
+            found = self.word.findall(" " + text) if text else []
+            found = [_WHOLE + w for w in found]
+        found = list(map(self.words.__getitem__, found))
         self.texts.append(np.array(found, dtype=np.int32))
         self.hashes.append(hashlib.sha256(text.encode()).digest())
 
+    def _units(self, word: str) -> list[str]:
+        if word.startswith(_WHOLE):
+            return units_of(word[1:].replace(" ", SPACE), self.pairs)
+        if word.startswith("\n"):  # a new line, and what follows it without a blank
+            return ["\n", *(units_of(word[1:], self.pairs) if len(word) > 1 else [])]
+        return units_of(SPACE + word, self.pairs)
+
     def packed(self) -> tuple[bytes, list[str]]:
         terms: dict[str, int] = {}
         cuts = [
-            [terms.setdefault(u, len(terms)) for u in units_of(w.replace(" ", SPACE), self.pairs)] for w in self.words
+            [terms.setdefault(u, len(terms)) for u in self._units(w)] for w in self.words
         ]
         lengths = np.array([len(c) for c in cuts], dtype=np.int64)
         flat = np.array([t for c in cuts for t in c], dtype=np.int64)
@@ -131,22 +159,27 @@ def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
 
 
 def lattice(units: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """unit, n, edges: every substring that is a piece, as struct<score, s, t, id> from s to t, best score first."""
+    """unit, n, edges: every substring that is a piece, as struct<cost, s, t, id> from s to t, cheapest first.
+
+    Units longer than ``FOLDED`` have no edges.
+    """
     n = F.length("unit")
-    starts = units.select("unit", n.alias("n"), F.explode(F.sequence(F.lit(1), n)).alias("at"))
-    spans = starts.select(
-        "unit", "n", "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("at") + 1))).alias("size")
-    )
+    short = F.when(n <= FOLDED, n).otherwise(1)
+    # grouping compares the number first, which is cheaper than the unit
+    numbered = units.select(F.xxhash64("unit").alias("key"), "unit", n.alias("n"), short.alias("starts"))
+    starts = numbered.select("key", "unit", "n", "starts", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("at"))
+    most = F.least(F.lit(longest), F.col("starts") - F.col("at") + 1)
+    spans = starts.select("key", "unit", "n", "at", F.explode(F.sequence(F.lit(1), most)).alias("size"))
     named = spans.withColumn("piece", F.substring("unit", F.col("at"), F.col("size")))
     # the piece table is bounded by the model's vocabulary
     edges = named.join(F.broadcast(table), "piece", "left")
+    edges = edges.where("id IS NOT NULL OR (at = 1 AND size = 1)")  # each unit keeps a row
     begin = F.col("at") - 1
     edge = F.struct(
         (-F.col("score")).alias("cost"), begin.alias("s"), (begin + F.col("size")).alias("t"), F.col("id").alias("id")
     )
-    return edges.groupBy("unit").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges")
-    )
+    there = F.col("id").isNotNull() & (F.col("n") <= FOLDED)
+    return edges.groupBy("key", "unit", "n").agg(F.sort_array(F.collect_list(F.when(there, edge))).alias("edges"))
 
 
 def _bit(i: Column) -> Column:
@@ -234,19 +267,19 @@ def ids_between(unit: Column, edges: Column, cuts: Column, byte_ids: Sequence[in
 
 def encoded_units(units: DataFrame, pieces: Pieces) -> DataFrame:
     """unit, ids for distinct units; each is encoded by itself."""
-    spark = units.sparkSession
-    short = lattice(units.where(F.length("unit") <= FOLDED), piece_table(spark, pieces), pieces.longest)
+    short = lattice(units, piece_table(units.sparkSession, pieces), pieces.longest)
     unknown = 10.0 - min(pieces.scores.values(), default=0.0)
     fold = merged if pieces.kind == "bpe" else lambda e, n: viterbi(e, n, unknown)
-    folded = short.withColumn("cuts", fold(F.col("edges"), F.col("n")))
-    folded = folded.select("unit", ids_between(F.col("unit"), F.col("edges"), F.col("cuts"), pieces.byte_ids).alias("ids"))
     by_hand = merge_long if pieces.kind == "bpe" else path_long
 
     @F.pandas_udf("array<int>")
     def long_ids(units: pd.Series) -> pd.Series:
-        return units.map(lambda u: by_hand(u, pieces))
+        return units.map(lambda u: by_hand(u, pieces) if u and len(u) > FOLDED else None)
 
-    return folded.unionByName(units.where(F.length("unit") > FOLDED).select("unit", long_ids("unit").alias("ids")))
+    folded = F.when(F.col("n") <= FOLDED, fold(F.col("edges"), F.col("n")))
+    cut = short.select("unit", "n", "edges", folded.alias("cuts"))
+    ids = F.when(F.col("n") <= FOLDED, ids_between(F.col("unit"), F.col("edges"), F.col("cuts"), pieces.byte_ids))
+    return cut.select("unit", F.coalesce(ids, long_ids(F.when(F.col("n") > FOLDED, F.col("unit")))).alias("ids"))
 
 
 def _named(parts: list[str], pieces: Pieces) -> list[int]:
@@ -334,7 +367,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """One row per row of ``docs``: doc_id, ids, n_ids, n_byte_ids, ids_sha256, round_trip.
 
     ``path`` names a SentencePiece model that every executor has. ``ids`` are those of the
-    library without begin and end; ``ids_sha256`` is over them as comma-joined text; ``round_trip`` says
+    library without begin and end; ``ids_sha256`` is over them as 4-byte little-endian numbers; ``round_trip`` says
     whether decoding them gives the text again.
 
     Null and empty texts have no ids. Repeated rows and null ids are encoded row by row; other columns
@@ -343,8 +376,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     id_type = docs.schema[id_col].dataType.simpleString()
     pieces = load_pieces(path)
     blocks = blocks_of(docs, lambda: _Streams(path), id_col, text_col)
-    values = encoded_units(distinct_terms(blocks).withColumnRenamed("term", "unit"), pieces)
-    valued = terms_of(blocks).join(values, F.col("term") == F.col("unit")).select("block", "place", "ids")
+    # Terms are dealt out once: they are made distinct, encoded and joined back where they are. No term is hot, as
+    # it has a row per block. The two minima make both readers of the exchange ask for the same columns.
+    terms = terms_of(blocks).repartition("term")
+    distinct = terms.groupBy("term").agg(F.min("block").alias("b"), F.min("place").alias("p")).where("b >= 0 AND p >= 0")
+    values = encoded_units(distinct.select(F.col("term").alias("unit")), pieces)
+    small = "array<smallint>" if max([*pieces.ids.values(), *pieces.byte_ids]) < 1 << 15 else "array<int>"
+    values = values.select("unit", F.col("ids").cast(small).alias("ids"))
+    valued = terms.join(values, F.col("term") == F.col("unit")).select("block", "place", "ids")
 
     def line_up(block: dict, values: pa.Table) -> pa.Table:
         per_doc, places, marks, stream = unpack(block["packed"])
@@ -366,7 +405,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for i, (a, b) in enumerate(zip(doc_ends[:-1], doc_ends[1:], strict=True)):
             mine = flat[a:b].tolist()
             same = hashlib.sha256(text(mine).encode()).digest() == hashes[32 * i : 32 * i + 32]
-            digest = hashlib.sha256(",".join(map(str, mine)).encode()).hexdigest()
+            digest = hashlib.sha256(flat[a:b].astype("<i4").tobytes()).hexdigest()
             out.append((b - a, int(byte[a:b].sum()), digest, same))
         counts, in_bytes, digests, same = zip(*out, strict=True)
         ids_array = pa.ListArray.from_arrays(pa.array(doc_ends, pa.int32()), pa.array(flat, pa.int32()))
