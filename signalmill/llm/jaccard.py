@@ -43,7 +43,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
@@ -116,7 +116,7 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
             for text in batch.column(0):
                 held.append(shingles(text.as_py(), hashes))
                 size += len(held[-1])
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield report()
                     held, size = [], 0
         yield report()
