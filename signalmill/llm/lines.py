@@ -5,10 +5,9 @@ untouched. So every distinct line is indexed under its segments and looks up, fo
 length that a partner may have, its own substrings where that partner's segments may
 lie. Lines that meet are verified by a banded bit-parallel edit distance.
 
-A key at which many lines meet gives no pairs. There, lines meet once more under
-what is left of them when one character is deleted: lines that lose a character at
-the same place and agree are one edit apart, and a line that equals what another has left
-is so as well. That is exact for one edit and grows with the lines, not with pairs of them.
+A key at which many lines meet gives no pairs. For one edit, the rest of such lines is partitioned once
+more, and again, until few are left or the edit has nowhere else to lie. That is exact
+and grows with the lines, not with pairs of them.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ from signalmill.llm.components import components
 
 #: Lines shorter than this are compared as they are only.
 LEAST_CHARS = 20
-#: Up to so many lines at a key are verified pair by pair; above, by deletions.
+#: Up to so many lines at a key are verified pair by pair; above, keys are refined.
 CROWD = 16
 #: Up to so many lines of 16 bytes are broadcast to find their texts; more are joined.
 BROADCAST_LINES = 500_000
@@ -147,30 +146,35 @@ def near_lines(docs: DataFrame, lines: DataFrame, edits: int = 1, text_col: str
     n = edits + 1
     # a crowd is no skew: a line meets it once per task at most, and distinct() leaves one row
     dealt = lines.where("keys IS NOT NULL").select("mark", F.posexplode("keys").alias("place", "key"))
-    dealt = dealt.select("key", "mark", (F.col("place") >= n).alias("probes")).repartition("key").distinct()
+    dealt = dealt.select("key", "mark", "place").repartition("key").distinct()
+    probes = F.col("place") >= n
     sizes = dealt.groupBy("key").agg(
         F.min("mark").alias("_low"), F.max("mark").alias("_high"), F.count("*").alias("size"),
-        F.max(~F.col("probes")).alias("_indexed"),
+        F.max(~probes).alias("_indexed"),
     )
     live = sizes.where("_low <> _high AND _indexed").select(F.col("key").alias("k"), "size")
-    met = staged(dealt.join(live, F.col("key") == F.col("k")).select("key", "mark", "probes", "size"), "met-lines")
-    few = met.where(F.col("size") <= 2 * CROWD)
-    index = few.where("NOT probes").select("key", F.col("mark").alias("a"))
-    probe = few.where("probes").select("key", F.col("mark").alias("b"))
-    pairs = index.join(probe, "key").where("a <> b")
-    pairs = staged(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-    crowded = met.where(F.col("size") > 2 * CROWD).select("mark").distinct()
-    wanted = staged(
-        pairs.select(F.col("a").alias("w")).unionByName(pairs.select(F.col("b").alias("w")))
-        .unionByName(crowded.select(F.col("mark").alias("w"))).distinct(),
-        "wanted-lines",
-    )
+    met = dealt.join(live, F.col("key") == F.col("k")).select("key", "mark", "place", probes.alias("probes"), "size")
+    met = staged(met, "met-lines")
+    pairs = _pairs_at_keys(met.where(F.col("size") <= 2 * CROWD))
+    crowded = met.where(F.col("size") > 2 * CROWD)
+    marks = pairs.select(F.explode(F.array("a", "b")).alias("w")).unionByName(crowded.select(F.col("mark").alias("w")))
+    wanted = staged(marks.distinct(), "wanted-lines")
     texts = staged(_line_texts(docs, wanted, text_col), "line-texts")
+    if edits == 1:
+        pairs = pairs.unionByName(_crowd_pairs_by_halving(crowded, texts))
+    else:
+        pairs = pairs.unionByName(_crowd_pairs_by_length(crowded, texts, edits))
     left = texts.select(F.col("mark").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("mark").alias("b"), F.col("text").alias("text_b"))
-    close = pairs.join(left, "a").join(right, "b").where(_within(edits)("text_a", "text_b")).select("a", "b")
-    crowd = crowded.join(texts, "mark")
-    return close.unionByName(_crowd_links(crowd, edits))
+    pairs = staged(pairs.distinct(), "line-pairs")
+    return pairs.join(left, "a").join(right, "b").where(_within(edits)("text_a", "text_b")).select("a", "b")
+
+
+def _pairs_at_keys(met: DataFrame) -> DataFrame:
+    """a, b of rows key, mark, probes: each indexed line with all others at its key."""
+    index = met.where("NOT probes").select("key", F.col("mark").alias("a"))
+    pairs = index.join(met.select("key", F.col("mark").alias("b")), "key").where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _within(edits: int):
@@ -198,33 +202,65 @@ def _line_texts(docs: DataFrame, wanted: DataFrame, text_col: str) -> DataFrame:
     return found.join(wanted, found["mark"] == wanted["w"], "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
 
 
-def _crowd_links(crowd: DataFrame, edits: int) -> DataFrame:
-    """Links among crowded lines (mark, text) for one edit; ``edits`` above 1 verifies pairs that share a deletion key."""
-    if edits != 1:
-        return _crowd_pairs(crowd, edits)
+def _crowd_pairs_by_halving(crowded: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b: pairs of crowded lines that hold all lines one edit apart, up to what connects them.
 
-    def lose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                left = [hashlib.blake2b((text[:j] + text[j + 1 :]).encode(), digest_size=16).digest() for j in range(len(text))]
-                places = list(range(len(text)))
-                marks = pa.array([mark] * len(left), pa.binary())
-                yield pa.RecordBatch.from_arrays([marks, pa.array(left, pa.binary()), pa.array(places, pa.int32())], names=["mark", "left", "place"])
-
-    lost = crowd.select("mark", "text").mapInArrow(lose, "mark binary, left binary, place int")
-    star = lost.groupBy("left", "place").agg(F.min("mark").alias("a"), F.max("mark").alias("_last")).where("a <> _last")
-    replaced = lost.join(star.select(F.col("left").alias("l"), F.col("place").alias("p"), "a"), (F.col("left") == F.col("l")) & (F.col("place") == F.col("p")))
-    dropped = lost.join(crowd.select(F.col("mark").alias("a")), F.col("left") == F.col("a"))
-    both = replaced.select("a", F.col("mark").alias("b")).unionByName(dropped.select("a", F.col("mark").alias("b")))
-    return both.where("a <> b").distinct()
-
-
-def _crowd_pairs(crowd: DataFrame, edits: int) -> DataFrame:
-    """All lines of a crowd against each other by length; exact for any ``edits``, but as costly as its square."""
-    left = crowd.select(F.col("mark").alias("a"), F.col("text").alias("text_a"), F.length("text").alias("n"))
-    right = crowd.select(F.col("mark").alias("b"), F.col("text").alias("text_b"), F.explode(
-        F.sequence(F.length("text") - edits, F.length("text"))).alias("n"))
-    return left.join(right, "n").where("a <> b").where(_within(edits)("text_a", "text_b")).select("a", "b").distinct()
+    Lines at a key agree in a beginning and an end, and the edit lies in the window between. Of the window's
+    halves one is untouched as well, so the key is refined by each half in turn. Lines whose edits lie at different
+    places part, and a key with few lines gives its pairs. At a window of one character, all indexed lines are one
+    edit apart; at an empty one, all others are so from the only indexed line.
+    """
+    # places 0 and 1 index a line's halves, 2 and 3 look for a partner with one character less
+    sized = texts.select(F.col("mark").alias("m"), F.length("text").alias("n"))
+    met = crowded.where("place < 4").join(sized, F.col("mark") == F.col("m"))
+    size = F.col("n") - F.col("probes").cast("int")
+    half = F.floor(size / 2).cast("int")
+    first = F.col("place") % 2 == 0
+    level = met.select(
+        "mark", "probes", size.alias("l"), F.when(first, half).otherwise(0).alias("p"), F.when(first, 0).otherwise(size - half).alias("s")
+    ).distinct()
+    found = level.select(F.col("mark").alias("a"), F.col("mark").alias("b")).limit(0)
+    while True:
+        rows = level.join(texts, "mark").mapInArrow(_refine, "key long, mark binary, probes boolean, l int, p int, s int")
+        rows = staged(rows.distinct(), "refined-lines")
+        groups = rows.groupBy("key").agg(
+            F.count("*").alias("size"), F.min(F.when(~F.col("probes"), F.col("mark"))).alias("hub"),
+            F.min("mark").alias("_low"), F.max("mark").alias("_high"),
+        ).where("hub IS NOT NULL AND _low <> _high").select(F.col("key").alias("k"), "size", "hub")
+        live = staged(rows.join(groups, F.col("key") == F.col("k")).drop("k"), "refined-groups")
+        few, many = live.where(F.col("size") <= CROWD), live.where(F.col("size") > CROWD)
+        narrow = many.where("l - p - s = 0 OR (l - p - s = 1 AND NOT probes)").where("mark <> hub")
+        stars = narrow.select(F.least("hub", "mark").alias("a"), F.greatest("hub", "mark").alias("b"))
+        found = staged(found.unionByName(_pairs_at_keys(few)).unionByName(stars).distinct(), "crowd-pairs")
+        level = many.where("l - p - s > 0").select("mark", "probes", "l", "p", "s").distinct()
+        if level.isEmpty():
+            return found
+
+
+def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From mark, probes, l, p, s, text: the keys of a beginning or an end that is longer by half of the window."""
+    for batch in batches:
+        out = []
+        for mark, probes, size, p, s, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            window = size - p - s
+            half = window // 2
+            for q, t in ((p + max(half, 1), s), (p, s + window - half)):
+                part = f"{size}:{q}:{t}:{text[:q]}\0{text[len(text) - t :]}"
+                out.append((xxhash.xxh3_64_intdigest(part.encode()) - (1 << 63), mark, probes, size, q, t))
+        columns = list(zip(*out, strict=True)) if out else [[]] * 6
+        types = [pa.int64(), pa.binary(), pa.bool_(), pa.int32(), pa.int32(), pa.int32()]
+        arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["key", "mark", "probes", "l", "p", "s"])
+
+
+def _crowd_pairs_by_length(crowded: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """All lines of crowds against each other by length; exact for any ``edits``, but as costly as its square."""
+    lines = crowded.select(F.col("mark").alias("m")).distinct().join(texts, F.col("m") == F.col("mark"))
+    left = lines.select(F.col("mark").alias("a"), F.length("text").alias("n"))
+    lengths = F.sequence(F.length("text") - edits, F.length("text"))
+    right = lines.select(F.col("mark").alias("b"), F.explode(lengths).alias("n"))
+    pairs = left.join(right, "n").where("a <> b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def repeated_lines(docs: DataFrame, edits: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
