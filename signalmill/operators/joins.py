@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table's rows as JSON text, from one distributed aggregate."""
-    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.agg(F.sum(row).alias("bytes")).first()["bytes"] or 0
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a table as the statistics of its plan have it; no job runs for it."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size)
 
 
 def lookup_join(
@@ -21,29 +21,29 @@ def lookup_join(
     lookup_key: str,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left outer join to a lookup table, broadcast only if its measured size permits.
+    """Left outer join to a lookup table, broadcast only if its estimated size permits.
 
     A larger lookup is joined by key, where adaptive execution splits hot keys
-    of the left side.
+    of the left side, and still broadcasts what turns out to be small.
     """
-    small = measured_bytes(lookup) <= max_bytes
+    small = estimated_bytes(lookup) <= max_bytes
     right = F.broadcast(lookup) if small else lookup
     return df.join(right, df[key] == lookup[lookup_key], "left")
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Inner equi-join; a text key is converted to the other side's type.
+    """Inner equi-join; a text key is compared as the other side's type.
 
-    Text that does not convert matches nothing.
+    Text that does not convert matches nothing. The keys come out as they were.
     """
-    left, right = _same_key_type(left, right, left_key, right_key)
-    return left.join(right, left[left_key] == right[right_key], "inner")
+    left, right = _compared(left, right, left_key, right_key)
+    return left.join(right, F.col(_LEFT) == F.col(_RIGHT), "inner").drop(_LEFT, _RIGHT)
 
 
 def full_outer_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, suffix: str = "_right"
 ) -> DataFrame:
-    """Full outer equi-join without duplicate column names.
+    """Full outer equi-join without duplicate column names; keys come out as they were.
 
     Adaptive execution cannot split a hot key of a full outer join, so the rows
     come from three joins it can split: the matches, and each side's rows whose
@@ -53,29 +53,32 @@ def full_outer_join(
     taken = {c.lower() for c in left.columns}
     names = {c: c + suffix for c in right.columns if c.lower() in taken}
     right = right.withColumnsRenamed(names)
-    right_key = names.get(right_key, right_key)
-    left, right = _same_key_type(left, right, left_key, right_key)
+    left, right = _compared(left, right, left_key, names.get(right_key, right_key))
 
-    both = left.join(right, left[left_key] == right[right_key], "inner")
-    left_only = _unmatched(left, left_key, right, right_key)
-    right_only = _unmatched(right, right_key, left, left_key)
-    return both.unionByName(left_only, allowMissingColumns=True).unionByName(
-        right_only, allowMissingColumns=True
-    )
+    both = left.join(right, F.col(_LEFT) == F.col(_RIGHT), "inner")
+    left_only = _unmatched(left, _LEFT, right, _RIGHT)
+    right_only = _unmatched(right, _RIGHT, left, _LEFT)
+    joined = both.unionByName(left_only, allowMissingColumns=True)
+    return joined.unionByName(right_only, allowMissingColumns=True).drop(_LEFT, _RIGHT)
+
+
+_LEFT, _RIGHT = "_compared_left", "_compared_right"
 
 
 def _unmatched(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     keys = other.select(F.col(other_key).alias("_other_key")).dropna().distinct()
-    return df.join(keys, df[key] == keys["_other_key"], "left_anti")
+    return df.join(keys, F.col(key) == F.col("_other_key"), "left_anti")
 
 
-def _same_key_type(
+def _compared(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str
 ) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a helper column of one type to compare."""
     left_type = left.schema[left_key].dataType.simpleString()
     right_type = right.schema[right_key].dataType.simpleString()
+    a, b = left[left_key], right[right_key]
     if left_type != right_type and right_type == "string":
-        right = right.withColumn(right_key, F.col(right_key).try_cast(left_type))
+        b = b.try_cast(left_type)
     elif left_type != right_type and left_type == "string":
-        left = left.withColumn(left_key, F.col(left_key).try_cast(right_type))
-    return left, right
+        a = a.try_cast(right_type)
+    return left.withColumn(_LEFT, a), right.withColumn(_RIGHT, b)

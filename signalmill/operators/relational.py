@@ -29,12 +29,13 @@ def rename_positions(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def rename_by_mapping(
     df: DataFrame, mapping: DataFrame, old: str = "sig_name", new: str = "sig_mapping_name"
 ) -> DataFrame:
-    """Renames columns as a mapping table says, in one projection.
+    """Renames columns as a mapping table says, in one projection; old names match in any case.
 
     The filter leaves at most one mapping row per column of ``df``, so what the
     driver reads is bounded by the width of ``df``, whatever the mapping's size.
     """
-    wanted = mapping.where(F.col(old).isin(df.columns)).select(old, new).distinct()
+    known = F.lower(old).isin([c.lower() for c in df.columns])
+    wanted = mapping.where(known).select(F.lower(old).alias(old), new).distinct()
     pairs = wanted.limit(len(df.columns) + 1).collect()
     names = {row[old]: row[new] for row in pairs}
     if len(names) < len(pairs):

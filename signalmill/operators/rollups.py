@@ -59,29 +59,31 @@ def rollup(
     Records without a valid date form the NULL group. Streams may only be
     ``ordered`` in complete mode.
     """
-    kept = positive_power(signals) if positive_only else signals
     kinds = _choice(STYLES, style, "style")
     makers = {"sum": F.sum, "avg": F.avg}
+    count, value = _counted(positive_only)
     values = [
-        makers[kind](s.column).alias(name)
+        makers[kind](value(s.column)).alias(name)
         for kind, s, name in zip(kinds, SIGNALS, result_columns(style), strict=True)
     ]
-    grouped = _keyed(kept, "signal_date", grain, by_year).agg(F.count("*").alias("count"), *values)
+    grouped = _keyed(signals, "signal_date", grain, by_year).agg(count.alias("count"), *values)
+    grouped = grouped.where(F.col("count") > 0) if positive_only else grouped
     return grouped.orderBy(*group_keys(grain, by_year)) if ordered else grouped
 
 
 def day_partials(signals: DataFrame, positive_only: bool = False) -> DataFrame:
     """Mergeable day totals: record count, and sum and value count of each signal."""
-    kept = positive_power(signals) if positive_only else signals
+    count, value = _counted(positive_only)
     values = [
         v
         for s in SIGNALS
         for v in (
-            F.sum(s.column).alias(f"sum_{s.column}"),
-            F.count(s.column).alias(f"n_{s.column}"),
+            F.sum(value(s.column)).alias(f"sum_{s.column}"),
+            F.count(value(s.column)).alias(f"n_{s.column}"),
         )
     ]
-    return kept.groupBy("signal_date").agg(F.count("*").alias("count"), *values)
+    grouped = signals.groupBy("signal_date").agg(count.alias("count"), *values)
+    return grouped.where(F.col("count") > 0) if positive_only else grouped
 
 
 def coarser_partials(partials: DataFrame, grain: str) -> DataFrame:
@@ -144,6 +146,18 @@ def with_generation_indicator(
     return averages.withColumn("generation_indicator", band(F.col(f"`{power}`"), bands))
 
 
+def _counted(positive_only: bool) -> tuple[Column, Callable[[str], Column]]:
+    """A count and the values to aggregate, of all records or of those with power.
+
+    The condition stands inside of the aggregates: as a filter it would be pushed below the parsing
+    of lines, which would then run twice.
+    """
+    if not positive_only:
+        return F.count("*"), F.col
+    positive = F.col(POWER) > 0
+    return F.count(F.when(positive, 1)), lambda column: F.when(positive, F.col(column))
+
+
 def _keyed(df: DataFrame, date: str, grain: str, by_year: bool):
     key, of = _choice(GRAINS, grain, "grain")
     keys = [of(F.col(date)).alias(key)]

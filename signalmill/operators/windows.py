@@ -29,18 +29,21 @@ def collect_windows(
     A window with more than ``max_array`` rows is cut into numbered parts of
     about that size, so a hot window never has to fit into one array or one
     task; the parts of a window hold all of its rows. ``deal`` is the evenly
-    spread integer that assigns rows to parts, by default a hash of the number.
+    spread integer that assigns rows to parts. By default it is drawn from a row's place
+    in its task, so equal and missing numbers are spread like any others.
 
-    The window sizes are counted at once and kept as a small table, whose known
-    size lets Spark broadcast it instead of shuffling the rows for the join.
+    The rows are evaluated once and land in the shared folder, since a processing time would put
+    them into other windows the next time. The window sizes are counted from the landed copy and kept as
+    a small table, whose known size lets Spark broadcast it instead of shuffling the rows for the join.
     """
-    counted = rows.groupBy("window").agg(
+    kept = [c for c in dict.fromkeys([*arrays.values(), number])]
+    spread = _by_place() if deal is None else deal
+    landed = _landed(rows.select("window", *kept, spread.alias("_deal")), "window-rows")
+    counted = landed.groupBy("window").agg(
         F.ceil(F.count("*") / F.lit(max_array)).cast("long").alias("parts")
     )
-    path = scratch_path(rows.sparkSession, "window-sizes")
-    counted.write.parquet(path)
-    sizes = rows.sparkSession.read.schema(counted.schema).parquet(path)
-    dealt = rows.join(sizes, "window").withColumn("part", _part(number, F.col("parts"), deal))
+    sizes = _landed(counted, "window-sizes")
+    dealt = landed.join(sizes, "window").withColumn("part", _part(F.col("_deal"), F.col("parts")))
     return _collected(dealt, ["window", "part"], arrays, number)
 
 
@@ -52,17 +55,19 @@ def collect_windows_live(
     arrays: dict[str, str],
     number: str,
     watermark: str,
-    parts: int = 1,
+    parts: int,
     deal: Column | None = None,
 ) -> DataFrame:
     """The same on a stream, where the number of parts per window is set beforehand.
 
+    Choose it for the busiest window: an array holds about a window's rows divided by ``parts``.
     The watermark comes before the aggregation; in append mode a window is
     emitted, and its state dropped, once the watermark has passed its end.
     """
     if parts < 1:
         raise ValueError(f"a window has at least one part, got {parts}")
-    timed = df.withWatermark(time, watermark).withColumn("part", _part(number, F.lit(parts), deal))
+    spread = _by_place() if deal is None else deal
+    timed = df.withWatermark(time, watermark).withColumn("part", _part(spread, F.lit(parts)))
     return _collected(timed, [F.window(time, length, slide).alias("window"), "part"], arrays, number)
 
 
@@ -71,11 +76,20 @@ def newest_first(windows: DataFrame) -> DataFrame:
     return windows.orderBy(F.col("window.start").desc(), "part")
 
 
-def _part(number: str, parts: Column, deal: Column | None) -> Column:
-    spread = F.xxhash64(number) if deal is None else deal
+def _by_place() -> Column:
+    return F.xxhash64(F.monotonically_increasing_id())
+
+
+def _part(spread: Column, parts: Column) -> Column:
     return F.pmod(spread, parts).cast("long")
 
 
+def _landed(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _collected(
     df: DataFrame, keys: Sequence[str | Column], arrays: dict[str, str], number: str
 ) -> DataFrame:

@@ -19,9 +19,9 @@ _CUSTOMER_DDL = (
 _DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source"]
 
 
-@CATALOGUE.query("scan_parquet", "SELECT event_id, ts, event_type, value FROM events")
+@CATALOGUE.query("scan_parquet", "SELECT * FROM events")
 def scan_parquet(spark, folder):
-    return table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    return table(spark, folder, "events")
 
 
 @CATALOGUE.query(
@@ -125,10 +125,10 @@ def write_mode_ignore(spark, folder):
     return sources.read_table(spark, path)
 
 
-@CATALOGUE.query("repartition_by_key", "SELECT o_orderkey, o_orderstatus FROM orders")
+@CATALOGUE.query("repartition_by_key", "SELECT * FROM orders")
 def repartition_by_key(spark, folder):
     path = scratch_path(spark, "orders-by-key")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    orders = table(spark, folder, "orders")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sinks.write_table(
         partitioning.repartition_by_key(orders, partitions, "o_orderstatus"), path
@@ -136,16 +136,23 @@ def repartition_by_key(spark, folder):
     return sources.read_table(spark, path)
 
 
-@CATALOGUE.query("coalesce_files", "SELECT o_orderkey, o_totalprice FROM orders")
+@CATALOGUE.query("coalesce_files", "SELECT * FROM orders")
 def coalesce_files(spark, folder):
     path = scratch_path(spark, "orders-coalesced")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, folder, "orders")
     sinks.write_table(partitioning.coalesce_to_size(orders, 2_000_000), path)
     return sources.read_table(spark, path)
 
 
-@CATALOGUE.query("partition_sizes")
+@CATALOGUE.query(
+    "partition_sizes", "SELECT 8 AS partitions, count(*) AS rows, TRUE AS even FROM events"
+)
 def partition_sizes(spark, folder):
-    events = table(spark, folder, "events").select("event_id")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return partitioning.partition_sizes(partitioning.round_robin(events, partitions))
+    """How a fixed number of partitions share the rows: even if they differ by one row per input task at most."""
+    events = table(spark, folder, "events")
+    sizes = partitioning.partition_sizes(partitioning.round_robin(events, 8))
+    tasks = events.rdd.getNumPartitions()
+    return sizes.agg(
+        F.count("*").cast("int").alias("partitions"), F.sum("rows").alias("rows"),
+        (F.max("rows") - F.min("rows") <= tasks).alias("even"),
+    )

@@ -25,9 +25,9 @@ def project_alias(spark, folder):
     return relational.project(table(spark, folder, "part"), names)
 
 
-@CATALOGUE.query("with_constant", "SELECT *, 'XS/IN' AS code FROM supplier")
+@CATALOGUE.query("with_constant", "SELECT *, 'A/1' AS code FROM supplier")
 def with_constant(spark, folder):
-    return table(spark, folder, "supplier").withColumn("code", F.lit("XS/IN"))
+    return table(spark, folder, "supplier").withColumn("code", F.lit("A/1"))
 
 
 @CATALOGUE.query(
@@ -171,11 +171,14 @@ def _text_key_customers(spark, folder):
     )
 
 
-@CATALOGUE.query("join_inner", _ORDERS_OF_CUSTOMERS)
+@CATALOGUE.query(
+    "join_inner",
+    _ORDERS_OF_CUSTOMERS.replace("c_mktsegment", "c_mktsegment, CAST(c_custkey AS VARCHAR) AS cust_text", 1),
+)
 def join_inner(spark, folder):
     orders, customers = table(spark, folder, "orders"), _text_key_customers(spark, folder)
     joined = joins.inner_join(orders, customers, "o_custkey", "cust_text")
-    return joined.select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment")
+    return joined.select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "cust_text")
 
 
 @CATALOGUE.query("join_sql_comma", _ORDERS_OF_CUSTOMERS)

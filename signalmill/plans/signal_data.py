@@ -20,7 +20,7 @@ def event_values() -> list[Column]:
         F.col("value"),
         F.col("user_id"),
         F.col("event_id") % 3600,
-        F.from_json("props", "k int")["k"],
+        F.get_json_object("props", "$.k").try_cast("int"),
     ]
 
 
@@ -64,7 +64,7 @@ def comparable(signals: DataFrame) -> DataFrame:
 
 
 def rounded(rollup: DataFrame, style: str, digits: int = 2) -> DataFrame:
-    """A rollup whose sums do not depend on the order of addition."""
+    """A rollup with rounded values, for comparing; the order of addition may still show near a half."""
     return rollup.withColumns({c: F.round(c, digits) for c in result_columns(style)})
 
 

@@ -17,7 +17,7 @@ from signalmill.plans.signal_data import (
     rollup_sql,
     rounded,
 )
-from signalmill.session import scratch_path, shuffle_partitions
+from signalmill.session import scratch_path
 from signalmill.sinks.topics import append_to_topic, json_records
 from signalmill.sources.files import table, table_stream
 from signalmill.sources.topics import Topic, json_values, signals_of, stream_topic
@@ -27,22 +27,26 @@ from signalmill.streaming.tables import (
     fan_out,
     fanned_rollup,
     latest_per_key,
+    newest_result,
     table_writer,
 )
 
 CATALOGUE = Catalogue()
 
-# Rollups have few keys, and map-side totals leave one row per key and task, so
-# a handful of state stores serves any volume.
-ROLLUP_STATE_PARTITIONS = 4
+def state_partitions(spark) -> int:
+    """State partitions of the ready-made rollups: ``spark.signalmill.state.partitions``, 4 if unset.
+
+    Map-side totals leave a row per task and key, so months need few; raise it for days on large inputs.
+    """
+    return int(spark.conf.get("spark.signalmill.state.partitions", "4"))
 
 
 def _rolled(spark, stream, grain, style, positive, output_mode, table_mode):
     path, checkpoint = scratch_path(spark, f"rollup-{grain}"), scratch_path(spark, "checkpoint")
     rolled = rollup(stream, grain, style, positive, ordered=output_mode == "complete")
-    with shuffle_partitions(spark, ROLLUP_STATE_PARTITIONS):
-        run_available(table_writer(rolled, path, checkpoint, output_mode, table_mode))
-    return spark.read.parquet(path)
+    writer = table_writer(rolled, path, checkpoint, output_mode, table_mode)
+    run_available(writer, spark, state_partitions(spark))
+    return newest_result(spark, path) if table_mode == "refresh" else spark.read.parquet(path)
 
 
 @CATALOGUE.query("stream_rollup_day", rollup_sql(EVENT_SIGNALS, "day", "sum"))
@@ -87,7 +91,7 @@ def stream_rollup_month_update(spark, folder):
 )
 def stream_watermark_append(spark, folder):
     """Counts of the hours that the watermark has closed; the state of the others waits."""
-    timed = table_stream(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ts"))
+    timed = table_stream(spark, folder, "events").select("ts")
     hourly = (
         timed.withWatermark("ts", "1 hour")
         .groupBy(F.window("ts", "1 hour").alias("window"))
@@ -95,8 +99,7 @@ def stream_watermark_append(spark, folder):
         .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
     )
     path, checkpoint = scratch_path(spark, "hourly"), scratch_path(spark, "checkpoint")
-    with shuffle_partitions(spark, ROLLUP_STATE_PARTITIONS):
-        run_available(append_writer(hourly, path, checkpoint))
+    run_available(append_writer(hourly, path, checkpoint), spark, state_partitions(spark))
     return spark.read.parquet(path)
 
 

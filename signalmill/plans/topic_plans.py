@@ -17,7 +17,7 @@ from signalmill.plans.signal_data import (
     event_signal_stream,
     event_values,
 )
-from signalmill.schemas import JSON_EVENT_DDL, SIGNALS, TYPED_SIGNAL_DDL, WRITE_TIME_PATTERN
+from signalmill.schemas import SIGNALS, TYPED_SIGNAL_DDL, WRITE_TIME_PATTERN
 from signalmill.session import scratch_path
 from signalmill.sinks.files import write_csv
 from signalmill.sinks.topics import append_to_topic, csv_records, json_records, topic_writer
@@ -30,8 +30,8 @@ from signalmill.sources.topics import (
     stream_topic,
     text_values,
 )
-from signalmill.streaming.runner import run_available
-from signalmill.streaming.tables import append_writer
+from signalmill.streaming.runner import run_available, skip_present
+from signalmill.streaming.tables import append_writer, landing_writer
 
 CATALOGUE = Catalogue()
 
@@ -137,7 +137,7 @@ def topic_json_encode(spark, folder):
 
 @CATALOGUE.query(
     "topic_json_replay",
-    "SELECT CAST(event_id AS INTEGER) AS id, event_type AS name FROM events",
+    "SELECT event_id AS id, event_type AS name FROM events",
 )
 def topic_json_replay(spark, folder):
     """The whole log of a topic of JSON events."""
@@ -146,7 +146,7 @@ def topic_json_replay(spark, folder):
         F.col("event_id").alias("id"), F.col("event_type").alias("name")
     )
     append_to_topic(json_records(events), topic)
-    return json_values(read_topic(spark, topic), JSON_EVENT_DDL).select("data.*")
+    return json_values(read_topic(spark, topic), "id long, name string").select("data.*")
 
 
 @CATALOGUE.query(
@@ -158,12 +158,13 @@ def topic_latest(spark, folder):
     topic = _topic(spark, "signals")
     events = table(spark, folder, "events")
     append_to_topic(event_lines(events.where(F.col("ts") < F.lit(_CUT))), topic)
-    records = stream_topic(spark, topic, starting="latest")
+    checkpoint = scratch_path(spark, "checkpoint")
+    skip_present(stream_topic(spark, topic), checkpoint)
     append_to_topic(event_lines(events.where(F.col("ts") >= F.lit(_CUT))), topic)
     path = scratch_path(spark, "signals")
-    signals = comparable(signals_of(topic, records))
-    run_available(append_writer(signals, path, scratch_path(spark, "checkpoint")))
-    return spark.read.parquet(path)
+    signals = comparable(signals_of(topic, stream_topic(spark, topic)))
+    run_available(landing_writer(signals, path).option("checkpointLocation", checkpoint))
+    return spark.read.parquet(path).drop("batch_id")
 
 
 @CATALOGUE.query(
@@ -172,24 +173,20 @@ def topic_latest(spark, folder):
                AS seen_by, s.* FROM ({EVENT_SIGNALS}) s""",
 )
 def replay_then_stream(spark, folder):
-    """A batch replay of the log, then a stream of what was appended after it."""
+    """A replay of the log, then what was appended after it, on one checkpoint."""
     topic = _topic(spark, "signals")
     events = table(spark, folder, "events")
     append_to_topic(event_lines(events.where(F.col("ts") < F.lit(_CUT))), topic)
-    log = read_topic(spark, topic)
-    end = log.agg(F.max("timestamp").alias("end")).first()["end"]
-    replayed = signals_of(topic, log.where(F.col("timestamp") <= F.lit(end)))
-
-    append_to_topic(event_lines(events.where(F.col("ts") >= F.lit(_CUT))), topic)
-    path = scratch_path(spark, "signals")
-    live = signals_of(topic, stream_topic(spark, topic, starting=end))
-    run_available(append_writer(live, path, scratch_path(spark, "checkpoint")))
-    streamed = spark.read.parquet(path)
-    return (
-        comparable(replayed)
-        .withColumn("seen_by", F.lit("batch"))
-        .unionByName(comparable(streamed).withColumn("seen_by", F.lit("stream")))
-    )
+    checkpoint = scratch_path(spark, "checkpoint")
+    seen = {}
+    for by in ("batch", "stream"):
+        seen[by] = scratch_path(spark, by)
+        signals = comparable(signals_of(topic, stream_topic(spark, topic)))
+        run_available(landing_writer(signals, seen[by]).option("checkpointLocation", checkpoint))
+        if by == "batch":
+            append_to_topic(event_lines(events.where(F.col("ts") >= F.lit(_CUT))), topic)
+    batch, stream = (spark.read.parquet(p).drop("batch_id").withColumn("seen_by", F.lit(by)) for by, p in seen.items())
+    return batch.unionByName(stream)
 
 
 def _ingested(spark, folder) -> str:

@@ -65,7 +65,7 @@ def word_pattern(spark, folder):
 
 @CATALOGUE.query("word_total", f"SELECT count(*) AS total FROM ({_WORDS}) w")
 def word_total(spark, folder):
-    return words.total(_counts(spark, folder))
+    return _words(spark, folder).agg(F.count("*").alias("total"))
 
 
 @CATALOGUE.query(

@@ -59,7 +59,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     single-machine session without that setting gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or _temporary_root(spark)
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+_handed_out: list[str] = []
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Deletes all folders that :func:`scratch_path` has given this process; returns how many there were.
+
+    Nothing else removes them, as later reads and restarts may need them. Call it once per run, when
+    its results have been written elsewhere.
+    """
+    found = 0
+    while _handed_out:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        found += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return found
 
 
 def _temporary_root(spark: SparkSession) -> str:

@@ -48,10 +48,13 @@ class Topic:
 def read_topic(
     spark: SparkSession,
     topic: Topic,
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """The whole log of a topic, as a batch."""
+    """The whole log of a topic, as a batch.
+
+    Records that vanish while it is read raise an error, unless ``fail_on_data_loss`` is off.
+    """
     if topic.is_kafka:
         return _kafka(spark.read, spark, topic, "earliest", fail_on_data_loss, options).load()
     reader = spark.read.schema(RECORD_DDL).option("ignoreMissingFiles", not fail_on_data_loss)
@@ -62,15 +65,20 @@ def stream_topic(
     spark: SparkSession,
     topic: Topic,
     starting: str | datetime = "earliest",
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     max_files_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A topic as a stream from its start, from now (``latest``) or from an instant.
+    """A topic as a stream from its start, or from the records of an instant on.
 
-    Kafka may also start at an offset map, given as its JSON text. It uses the
-    start only for a stream without a checkpoint. A directory's start is
+    Kafka may also start at its present end (``latest``) or at an offset map, given as its JSON
+    text. It uses the start only for a stream without a checkpoint. A directory's start is
     a condition on the record time; pass the same instant when resuming.
+
+    Record times are set where a batch begins, so they do not tell what has been seen. To start
+    at a topic's present end, or to go on after a replay, use one checkpoint: see
+    :func:`signalmill.streaming.runner.skip_present` and :func:`replay_then_follow`.
+    Records that vanish raise an error, unless ``fail_on_data_loss`` is off.
     """
     if topic.is_kafka:
         return _kafka(spark.readStream, spark, topic, starting, fail_on_data_loss, options).load()
@@ -80,10 +88,9 @@ def stream_topic(
     stream = reader.parquet(topic.path)
     if starting == "earliest":
         return stream
-    since = datetime.now().astimezone() if starting == "latest" else starting
-    if not isinstance(since, datetime):
-        raise ValueError(f"a directory topic cannot start at {starting!r}")
-    return stream.where(F.col("timestamp") > F.lit(since))
+    if not isinstance(starting, datetime):
+        raise ValueError(f"a directory topic cannot start at {starting!r}; skip_present() leaves out what is there")
+    return stream.where(F.col("timestamp") > F.lit(starting))
 
 
 def offsets_after(batch: DataFrame) -> str:

@@ -28,14 +28,26 @@ def append_writer(
     )
 
 
+def landing_writer(stream: DataFrame, path: str) -> DataStreamWriter:
+    """Lands the rows of each batch in a folder of its own, which a repeat overwrites.
+
+    Unlike the file sink, it can take over a checkpoint that other batches have begun.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return stream.writeStream.foreachBatch(write)
+
+
 def table_writer(
     stream: DataFrame, path: str, checkpoint: str, output_mode: str, table_mode: str
 ) -> DataStreamWriter:
     """Keeps an aggregate of a stream as a table directory.
 
-    ``refresh`` replaces the table by each batch's complete result. ``snapshot``
-    keeps every complete result, and ``upsert`` every changed row, under its
-    ``batch_id``; :func:`latest_per_key` gives an upsert table's current rows. All are
+    ``refresh`` and ``snapshot`` keep every complete result, and ``upsert`` every changed row, under its
+    ``batch_id``. :func:`newest_result` reads a refreshed table, so that a reader never
+    meets half of a result; :func:`latest_per_key` gives an upsert table's current rows. All are
     safe to repeat: a batch overwrites only what it wrote itself.
     """
     check_modes(output_mode, table_mode)
@@ -43,8 +55,7 @@ def table_writer(
         return append_writer(stream, path, checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = path if table_mode == "refresh" else f"{path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -53,6 +64,20 @@ def table_writer(
     )
 
 
+def newest_result(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete result of a refreshed table.
+
+    A folder counts once its writer has marked it as complete. The driver sees folder names only.
+    """
+    jvm, root = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("batch_id=")]
+    whole = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    if not whole:
+        raise FileNotFoundError(f"{path} holds no complete result yet")
+    return spark.read.parquet(max(whole, key=lambda p: int(p.getName().removeprefix("batch_id="))).toString())
+
+
 def latest_per_key(changes: DataFrame, *keys: str) -> DataFrame:
     """The row of the newest batch for each key."""
     others = [c for c in changes.columns if c not in keys and c != "batch_id"]

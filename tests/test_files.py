@@ -4,7 +4,9 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from signalmill.schemas import PERSON_DDL, TYPED_SIGNAL_DDL
+from signalmill.schemas import TYPED_SIGNAL_DDL
+
+PERSON_DDL = "id int, name string, age int, address string"
 from signalmill.sinks import files as K
 from signalmill.sources import files as S
 from signalmill.sources.capabilities import MissingConnector, has_format

@@ -32,8 +32,7 @@ def test_int_key_meets_text_key(staff, depts):
 def test_full_outer_equals_sparks_own(staff, depts):
     got = J.full_outer_join(staff, depts, "dept", "dept_id")
     assert got.columns == ["eid", "name", "dept", "dept_id", "title", "name_right"]
-    typed = depts.withColumn("dept_id", F.col("dept_id").try_cast("int"))
-    own = staff.join(typed, staff["dept"] == typed["dept_id"], "full")
+    own = staff.join(depts, staff["dept"] == depts["dept_id"].try_cast("int"), "full")
     assert rows(got) == rows(own.toDF(*got.columns))
     assert got.count() == 8
 
@@ -60,9 +59,24 @@ def test_small_lookup_is_broadcast_and_large_one_is_not(spark, folder, set_conf)
     assert rows(small) == rows(large)
 
 
-def test_measured_size(spark):
-    assert J.measured_bytes(spark.createDataFrame([("abc",)], "a string")) == len('{"a":"abc"}')
-    assert J.measured_bytes(spark.range(0)) == 0
+def test_estimated_size_runs_no_job(spark, folder):
+    nations = table(spark, folder, "nation")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    assert 0 < J.estimated_bytes(nations) < 1_000_000
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+
+
+@pytest.mark.parametrize("join", [J.inner_join, J.full_outer_join])
+def test_text_keys_come_out_as_they_were(spark, join):
+    texts = spark.createDataFrame([("010", 1), ("n/a", 2), (None, 3), ("10", 4)], "k string, a int")
+    numbers = spark.createDataFrame([(10, 5), (11, 6)], "n int, b int")
+    matched = [("010", 1, 10, 5), ("10", 4, 10, 5)]
+    rest = [("n/a", 2, None, None), (None, 3, None, None), (None, None, 11, 6)]
+    wanted = matched if join is J.inner_join else matched + rest
+    assert rows(join(texts, numbers, "k", "n")) == sorted(wanted, key=repr)
+    turned = join(numbers, texts, "n", "k").select("k", "a", "n", "b")
+    assert rows(turned) == sorted(wanted, key=repr)
+    assert dict(turned.dtypes)["k"] == "string"
 
 
 @pytest.mark.parametrize("hot_side", ["left", "right", "both"])

@@ -116,4 +116,4 @@ def test_unused_fields_are_pruned(spark, folder):
     from signalmill.plans.signal_data import event_signals
 
     text = plan(event_signals(spark, folder).select("signal_date"))
-    assert "try_cast" not in text
+    assert "as double" not in text

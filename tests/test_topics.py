@@ -1,17 +1,23 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from signalmill.schemas import JSON_EVENT_DDL, PERSON_AVRO
 from signalmill.sinks import topics as K
 from signalmill.sources import topics as S
 from signalmill.sources.capabilities import MissingConnector, has_format
 from signalmill.sources.topics import Topic
-from signalmill.streaming.runner import run_available
-from signalmill.streaming.tables import append_writer
+from signalmill.streaming.runner import replay_then_follow, run_available, skip_present
+from signalmill.streaming.tables import append_writer, landing_writer
+
+
+JSON_EVENT_DDL = "id int, name string"
+PERSON_AVRO = """{"type": "record", "name": "Who", "fields": [
+  {"name": "id", "type": "int"}, {"name": "name", "type": "string"},
+  {"name": "age", "type": "int"}, {"name": "address", "type": "string"}]}"""
 
 
 @pytest.fixture
@@ -84,13 +90,48 @@ def test_starting_points(spark, topic, where):
 
     append("old")
     end = S.read_topic(spark, topic).agg(F.max("timestamp")).first()[0]
-    latest = S.stream_topic(spark, topic, starting="latest")
+    skip_present(S.stream_topic(spark, topic), where("b-c"))
     append("new")
     assert seen(S.stream_topic(spark, topic), "a") == [("new",), ("old",)]
-    assert seen(latest, "b") == [("new",)]
+    live = landing_writer(S.text_values(S.stream_topic(spark, topic)), where("b"))
+    run_available(live.option("checkpointLocation", where("b-c")))
+    assert rows(spark.read.parquet(where("b")).select("value")) == [("new",)]
     assert seen(S.stream_topic(spark, topic, starting=end), "c") == [("new",)]
-    with pytest.raises(ValueError, match="cannot start"):
-        S.stream_topic(spark, topic, starting="5")
+    for start in ("5", "latest"):
+        with pytest.raises(ValueError, match="cannot start"):
+            S.stream_topic(spark, topic, starting=start)
+
+
+def test_a_batch_that_began_before_the_replay_is_seen_once(spark, topic, where):
+    """Its records are older than the replay's end, and land after it."""
+
+    def append(text, second):
+        when = F.timestamp_seconds(F.lit(second))
+        record = spark.range(1).select(F.lit(None).cast("binary").alias("key"), F.encode(F.lit(text), "utf-8").alias("value"), F.lit("t").alias("topic"), when.alias("timestamp"))
+        record.write.mode("append").parquet(topic.path)
+
+    def writer(name):
+        texts = S.text_values(S.stream_topic(spark, topic))
+        return landing_writer(texts, where(name))
+
+    append("first", 1000)
+    replay = writer("replayed")
+    run_available(replay.option("checkpointLocation", where("c")))
+    append("late", 10)
+    append("new", 2000)
+    replay_then_follow(writer("more"), writer("live"), where("c"), every=None)
+    assert rows(spark.read.parquet(where("replayed")).select("value")) == [("first",)]
+    assert rows(spark.read.parquet(where("more")).select("value")) == [("late",), ("new",)]
+
+
+def test_vanished_records_raise_unless_tolerated(spark, topic):
+    K.append_to_topic(spark.range(100).repartition(4).select(F.col("id").cast("string").alias("value")), topic)
+    strict, tolerant = S.read_topic(spark, topic), S.read_topic(spark, topic, fail_on_data_loss=False)
+    assert strict.count() == tolerant.count() == 100
+    next(Path(topic.path).glob("part-*.parquet")).unlink()
+    assert tolerant.count() == 75
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|FAILED_READ_FILE|does not exist"):
+        strict.count()
 
 
 def test_kafka_offsets_that_continue_after_a_batch(spark):
