@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from signalmill.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
-TEXTS_PER_BATCH = 512
+TEXTS_PER_BATCH = 256
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -27,6 +28,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``TEXTS_PER_BATCH`` rows, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_PER_BATCH):
+            yield batch.slice(at, TEXTS_PER_BATCH)
+        del batch
+    pa.default_memory_pool().release_unused()
+
+
 def text_or_empty(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalmill.llm.common import staged, text_or_empty
+from signalmill.llm.common import sliced, staged, text_or_empty
 from signalmill.llm.components import components
 
 WORDS = 5
@@ -43,7 +43,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
@@ -116,7 +116,7 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
             for text in batch.column(0):
                 held.append(shingles(text.as_py(), hashes))
                 size += len(held[-1])
-                if size > 2_000_000:
+                if size > 1_000_000:
                     yield report()
                     held, size = [], 0
         yield report()
@@ -135,7 +135,7 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, late, seen = _Hashes(), shared.value, set()
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, nodes, prefixes, sketches = [], [], [], []
             for text in batch.column(1):
                 found = shingles(text.as_py(), hashes)
@@ -210,7 +210,7 @@ class _Join:
 
         def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = _Hashes()
-            for batch in batches:
+            for batch in sliced(batches):
                 nodes, members = [], []
                 for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     found = shingles(text.as_py(), hashes)
