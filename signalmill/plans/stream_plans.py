@@ -91,12 +91,19 @@ def stream_rollup_month_update(spark, folder):
 )
 def stream_watermark_append(spark, folder):
     """Counts of the hours that the watermark has closed; the state of the others waits."""
-    timed = table_stream(spark, folder, "events").select("ts")
+    # a watermark needs an instant; the zone-less time is taken as one in UTC, whatever the session's zone
+    micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', ts)")
+    timed = table_stream(spark, folder, "events").select(F.timestamp_micros(micros).alias("ts"))
     hourly = (
         timed.withWatermark("ts", "1 hour")
         .groupBy(F.window("ts", "1 hour").alias("window"))
         .agg(F.count("*").alias("n"))
-        .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "n")
+        .select(
+            F.expr(
+                "timestampadd(MICROSECOND, unix_micros(window.start), timestamp_ntz'1970-01-01')"
+            ).alias("window_start"),
+            "n",
+        )
     )
     path, checkpoint = scratch_path(spark, "hourly"), scratch_path(spark, "checkpoint")
     run_available(append_writer(hourly, path, checkpoint), spark, state_partitions(spark))

@@ -117,3 +117,21 @@ def test_unused_fields_are_pruned(spark, folder):
 
     text = plan(event_signals(spark, folder).select("signal_date"))
     assert "as double" not in text
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_sessions_zone(spark, folder, set_conf, zone):
+    from signalmill.plans import all_queries
+
+    set_conf("spark.sql.session.timeZone", zone)
+    lines = spark.createDataFrame([("10 03 2024 02:30,1,2,3,4",)], "value string")
+    found = S.parse_signals(lines).select(F.col("signal_ts").cast("string"), "bad_fields").first()
+    assert tuple(found) == ("2024-03-10 02:30:00", 0)
+    for name in ("signal_parse", "stream_watermark_append", "sliding_window_collect"):
+        text = all_queries()[name](spark, folder)
+        text = text.select([F.col(c).cast("string").alias(c) for c in text.columns])
+        key = (name, folder)
+        assert _SEEN.setdefault(key, sorted(map(tuple, text.collect()), key=repr)) == sorted(map(tuple, text.collect()), key=repr)
+
+
+_SEEN: dict = {}

@@ -16,6 +16,7 @@ from signalmill.streaming.tables import (
     fan_out,
     fanned_rollup,
     latest_per_key,
+    newest_result,
     table_writer,
 )
 
@@ -37,10 +38,12 @@ def signals(spark, path, files=1):
 @pytest.mark.parametrize("style", ["sum", "mixed"])
 def test_complete_mode_over_several_batches_equals_batch(spark, folder, lines, where, grain, style):
     rolled = rollup(signals(spark, lines), grain, style)
-    with shuffle_partitions(spark, 2):
-        query = run_available(table_writer(rolled, where("out"), where("c"), "complete", "refresh"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    writer = table_writer(rolled, where("out"), where("c"), "complete", "refresh")
+    query = run_available(writer, spark, state_partitions=2)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert query.lastProgress["batchId"] == 3
-    got = rounded(spark.read.parquet(where("out")), style)
+    got = rounded(newest_result(spark, where("out")), style)
     assert rows(got) == rows(rounded(rollup(order_signals(spark, folder), grain, style), style))
 
 
@@ -151,3 +154,23 @@ def test_scratch_folders_lie_in_the_shared_folder_and_differ(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b
     assert os.path.dirname(a) == shared
+
+
+def test_a_reader_meets_whole_results_only(spark, where):
+    spark.range(3).write.parquet(where("t/batch_id=9"))
+    spark.range(5).write.parquet(where("t/batch_id=10"))
+    os.makedirs(where("t/batch_id=11"))  # a result that is being written
+    assert newest_result(spark, where("t")).count() == 5
+    with pytest.raises(FileNotFoundError):
+        os.makedirs(where("u"))
+        newest_result(spark, where("u"))
+
+
+def test_scratch_folders_are_cleaned_on_request(spark, monkeypatch):
+    from signalmill import session
+
+    monkeypatch.setattr(session, "_handed_out", [])
+    used, unused = scratch_path(spark, "used"), scratch_path(spark, "unused")
+    spark.range(1).write.parquet(used)
+    assert session.clean_scratch(spark) == 1
+    assert not os.path.exists(used) and not os.path.exists(unused)
