@@ -30,6 +30,8 @@ SPACE = "▁"
 #: Units up to this length are folded in SQL with one long as the set of boundaries; the few longer
 #: ones, which would cost the square of their length, are merged from a heap with the same result.
 FOLDED = 40
+#: Code points below this, the Latin ones, are told by a table within the row; others by edges.
+PLAIN = 0x250
 
 
 @dataclass(frozen=True)
@@ -101,7 +103,9 @@ class _Streams:
     """The block of texts as streams of unit numbers, frequent units first."""
 
     def __init__(self, path: str) -> None:
-        self.pairs = load_pieces(path).pairs
+        self.pieces = load_pieces(path)
+        self.by_hand = merge_long if self.pieces.kind == "bpe" else path_long
+        self.pairs = self.pieces.pairs
         self.word = re.compile(" *[^ ]+| +")
         #: Between two single blanks lies a word; new lines, if no piece holds them, end one as well.
         self.breaks = not any("\n" in p for p in self.pairs)
@@ -129,26 +133,42 @@ class _Streams:
 
     def packed(self) -> tuple[bytes, list[str]]:
         terms: dict[str, int] = {}
-        cuts = [
-            [terms.setdefault(u, len(terms)) for u in self._units(w)] for w in self.words
-        ]
-        lengths = np.array([len(c) for c in cuts], dtype=np.int64)
-        flat = np.array([t for c in cuts for t in c], dtype=np.int64)
+        lengths = np.empty(len(self.words), dtype=np.int32)
+        flat = []
+        for i, word in enumerate(self.words):
+            cut = self._units(word)
+            lengths[i] = len(cut)
+            flat += [terms.setdefault(u, len(terms)) for u in cut]
+        self.words = _Numbers()
+        flat = np.array(flat, dtype=np.int32)
         begins = np.cumsum(lengths) - lengths
-        words = np.concatenate([np.empty(0, np.int32), *self.texts])
-        n = lengths[words]
-        stream = flat[np.repeat(begins[words], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        ends = np.cumsum([0, *(len(t) for t in self.texts)])
-        per_doc = np.diff(np.concatenate([[0], np.cumsum(n)])[ends])
-        by_use = np.argsort(-np.bincount(stream, minlength=len(terms)), kind="stable")
-        rank = np.empty(len(terms), dtype=np.int64)
+        per_doc = np.array([lengths[t].sum() for t in self.texts], dtype=np.int64)
+        parts = [flat[_spread(begins[t], lengths[t])] for t in self.texts]
+        stream = np.concatenate([np.empty(0, np.int32), *parts])
+        used = np.bincount(stream, minlength=len(terms))
+        del parts, flat, self.texts
+        by_use = np.argsort(-used, kind="stable")
+        rank = np.empty(len(terms), dtype=np.int32)
         rank[by_use] = np.arange(len(terms))
-        order = sorted(terms)  # neighbours with a common beginning compress well
-        place = np.empty(len(terms), dtype=np.int64)
+        # neighbours with a common beginning compress well; long units come last and are encoded here
+        order = sorted(terms, key=lambda u: (len(u) > FOLDED, u))
+        short = order[: sum(len(u) <= FOLDED for u in order)]
+        place = np.empty(len(terms), dtype=np.int32)
         place[[terms[t] for t in order]] = np.arange(len(order))
-        stream = rank[stream].astype("<i4").view(np.uint8).reshape(-1, 4).T  # low bytes first, then the next
+        encoded = [self.by_hand(u, self.pieces) for u in order[len(short) :]]
+        planes = rank[stream].astype("<i4").view(np.uint8).reshape(-1, 4).T  # low bytes first, then the next
         marks = np.frombuffer(b"".join(self.hashes), dtype="<i4")
-        return pack(per_doc, place[by_use], marks, np.resize(stream, -(-stream.size // 4) * 4).view("<i4")), order
+        packed = pack(
+            per_doc, place[by_use], marks, [len(x) for x in encoded], [i for x in encoded for i in x],
+            np.resize(planes, -(-planes.size // 4) * 4).view("<i4"),
+        )
+        return packed, short
+
+
+def _spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of all runs that begin at ``begins``, one run after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begins - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -161,25 +181,28 @@ def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
 def lattice(units: DataFrame, table: DataFrame, longest: int) -> DataFrame:
     """unit, n, edges: every substring that is a piece, as struct<cost, s, t, id> from s to t, cheapest first.
 
-    Units longer than ``FOLDED`` have no edges.
+    Single characters that :func:`plain_ids` knows have no edge.
     """
-    n = F.length("unit")
-    short = F.when(n <= FOLDED, n).otherwise(1)
     # grouping compares the number first, which is cheaper than the unit
-    numbered = units.select(F.xxhash64("unit").alias("key"), "unit", n.alias("n"), short.alias("starts"))
-    starts = numbered.select("key", "unit", "n", "starts", F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("at"))
-    most = F.least(F.lit(longest), F.col("starts") - F.col("at") + 1)
+    numbered = units.select(F.xxhash64("unit").alias("key"), "unit", F.length("unit").alias("n"))
+    starts = numbered.select("key", "unit", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
+    most = F.least(F.lit(longest), F.col("n") - F.col("at") + 1)
     spans = starts.select("key", "unit", "n", "at", F.explode(F.sequence(F.lit(1), most)).alias("size"))
     named = spans.withColumn("piece", F.substring("unit", F.col("at"), F.col("size")))
     # the piece table is bounded by the model's vocabulary
     edges = named.join(F.broadcast(table), "piece", "left")
-    edges = edges.where("id IS NOT NULL OR (at = 1 AND size = 1)")  # each unit keeps a row
+    told = F.col("id").isNotNull() & ((F.col("size") > 1) | (F.ascii("piece") >= PLAIN))
+    edges = edges.where(told | ((F.col("at") == 1) & (F.col("size") == 1)))  # each unit keeps a row
     begin = F.col("at") - 1
     edge = F.struct(
         (-F.col("score")).alias("cost"), begin.alias("s"), (begin + F.col("size")).alias("t"), F.col("id").alias("id")
     )
-    there = F.col("id").isNotNull() & (F.col("n") <= FOLDED)
-    return edges.groupBy("key", "unit", "n").agg(F.sort_array(F.collect_list(F.when(there, edge))).alias("edges"))
+    return edges.groupBy("key", "unit", "n").agg(F.sort_array(F.collect_list(F.when(told, edge))).alias("edges"))
+
+
+def plain_ids(pieces: Pieces) -> Column:
+    """Ids of the pieces of one character, by code point, for the first ``PLAIN`` code points; null for others."""
+    return F.array(*[F.lit(pieces.ids.get(chr(c))).cast("int") for c in range(PLAIN)])
 
 
 def _bit(i: Column) -> Column:
@@ -221,19 +244,23 @@ def merged(edges: Column, n: Column) -> Column:
     return bound(spans, fold)
 
 
-def viterbi(edges: Column, n: Column, unknown: float) -> Column:
+def viterbi(unit: Column, edges: Column, n: Column, pieces: Pieces) -> Column:
     """Boundaries of the cheapest path through a unit's lattice, as bits of a long.
 
-    A character that is no piece costs ``unknown``. Of equal paths, that whose last edge is longest wins.
+    A character that is no piece costs 10 more than the dearest piece. Of equal paths, that whose last edge is
+    longest wins.
     """
     none = F.struct(F.lit(0.0).alias("cost"), F.lit(1).cast("long").alias("cuts"))
+    unknown = _unknown(pieces)
+    plain = F.array(*[F.lit(float(-pieces.scores.get(chr(c), -unknown))) for c in range(PLAIN)])
 
     def reach(best: Column, end: Column) -> Column:
         def over(e: Column) -> Column:
             before = F.get(best, e["s"])
             return F.struct((before["cost"] + e["cost"]).alias("cost"), e["s"].alias("s"), before["cuts"].alias("cuts"))
 
-        alone = F.struct(F.lit(unknown).cast("double").alias("cost"), (end - 1).alias("s"), end.alias("t"), F.lit(None).cast("int").alias("id"))
+        cost = F.coalesce(F.get(plain, F.ascii(F.substring(unit, end, F.lit(1)))), F.lit(unknown))
+        alone = F.struct(cost.alias("cost"), (end - 1).alias("s"), end.alias("t"), F.lit(None).cast("int").alias("id"))
         into = F.filter(edges, lambda e: e["t"] == end)
         into = bound(into, lambda x: F.when(F.exists(x, lambda e: e["s"] == end - 1), x).otherwise(F.concat(x, F.array(alone))))
         cheapest = F.array_min(F.transform(into, over))
@@ -244,21 +271,28 @@ def viterbi(edges: Column, n: Column, unknown: float) -> Column:
     return F.get(paths, n)["cuts"]
 
 
-def ids_between(unit: Column, edges: Column, cuts: Column, byte_ids: Sequence[int]) -> Column:
+def _unknown(pieces: Pieces) -> float:
+    return 10.0 - min(pieces.scores.values(), default=0.0)
+
+
+def ids_between(unit: Column, edges: Column, cuts: Column, pieces: Pieces) -> Column:
     """Ids of the pieces between the boundaries; a character that is no piece gives its bytes."""
     starts = F.filter(F.sequence(F.lit(0), F.length(unit) - 1), lambda i: cuts.bitwiseAND(_bit(i)) != 0)
     used = F.filter(edges, lambda e: cuts.bitwiseAND(_span(e)) == _bit(e["s"]) + _bit(e["t"]))
-    table = F.array(*map(F.lit, byte_ids))
+    of_bytes, plain = F.array(*map(F.lit, pieces.byte_ids)), plain_ids(pieces)
 
-    def spelled(i: Column) -> Column:
-        raw = F.encode(F.substring(unit, i + 1, F.lit(1)), "UTF-8")
+    def alone(i: Column) -> Column:
+        sign = F.substring(unit, i + 1, F.lit(1))
+        raw = F.encode(sign, "UTF-8")
         codes = F.sequence(F.lit(1), F.octet_length(raw))
-        return F.transform(codes, lambda k: F.get(table, F.conv(F.hex(F.substring(raw, k, F.lit(1))), 16, 10).cast("int")))
+        spelled = F.transform(codes, lambda k: F.get(of_bytes, F.conv(F.hex(F.substring(raw, k, F.lit(1))), 16, 10).cast("int")))
+        known = F.get(plain, F.ascii(sign))
+        return F.when(known.isNotNull(), F.array(known)).otherwise(spelled)
 
     def ids(used: Column) -> Column:
         def at(i: Column) -> Column:
             found = F.filter(used, lambda e: e["s"] == i)
-            return bound(found, lambda f: F.when(F.size(f) > 0, F.array(F.get(f, F.lit(0))["id"])).otherwise(spelled(i)))
+            return bound(found, lambda f: F.when(F.size(f) > 0, F.array(F.get(f, F.lit(0))["id"])).otherwise(alone(i)))
 
         return F.flatten(F.transform(starts, at))
 
@@ -266,20 +300,11 @@ def ids_between(unit: Column, edges: Column, cuts: Column, byte_ids: Sequence[in
 
 
 def encoded_units(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """unit, ids for distinct units; each is encoded by itself."""
+    """unit, ids for distinct units of at most ``FOLDED`` characters; each is encoded by itself."""
     short = lattice(units, piece_table(units.sparkSession, pieces), pieces.longest)
-    unknown = 10.0 - min(pieces.scores.values(), default=0.0)
-    fold = merged if pieces.kind == "bpe" else lambda e, n: viterbi(e, n, unknown)
-    by_hand = merge_long if pieces.kind == "bpe" else path_long
-
-    @F.pandas_udf("array<int>")
-    def long_ids(units: pd.Series) -> pd.Series:
-        return units.map(lambda u: by_hand(u, pieces) if u and len(u) > FOLDED else None)
-
-    folded = F.when(F.col("n") <= FOLDED, fold(F.col("edges"), F.col("n")))
-    cut = short.select("unit", "n", "edges", folded.alias("cuts"))
-    ids = F.when(F.col("n") <= FOLDED, ids_between(F.col("unit"), F.col("edges"), F.col("cuts"), pieces.byte_ids))
-    return cut.select("unit", F.coalesce(ids, long_ids(F.when(F.col("n") > FOLDED, F.col("unit")))).alias("ids"))
+    unit, edges, n = F.col("unit"), F.col("edges"), F.col("n")
+    cuts = merged(edges, n) if pieces.kind == "bpe" else viterbi(unit, edges, n, pieces)
+    return short.withColumn("cuts", cuts).select("unit", ids_between(unit, edges, F.col("cuts"), pieces).alias("ids"))
 
 
 def _named(parts: list[str], pieces: Pieces) -> list[int]:
@@ -322,7 +347,7 @@ def merge_long(unit: str, pieces: Pieces) -> list[int]:
 
 def path_long(unit: str, pieces: Pieces) -> list[int]:
     """Viterbi of one long unit."""
-    unknown = 10.0 - min(pieces.scores.values(), default=0.0)
+    unknown = _unknown(pieces)
     best: list[tuple[float, int]] = [(0.0, 0)]
     for t in range(1, len(unit) + 1):
         options = []
@@ -381,34 +406,41 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     terms = terms_of(blocks).repartition("term")
     distinct = terms.groupBy("term").agg(F.min("block").alias("b"), F.min("place").alias("p")).where("b >= 0 AND p >= 0")
     values = encoded_units(distinct.select(F.col("term").alias("unit")), pieces)
-    small = "array<smallint>" if max([*pieces.ids.values(), *pieces.byte_ids]) < 1 << 15 else "array<int>"
-    values = values.select("unit", F.col("ids").cast(small).alias("ids"))
+    # as bytes, which are half of an array's row
+    width = 2 if max([*pieces.ids.values(), *pieces.byte_ids]) < 1 << 16 else 4
+    digits = F.transform("ids", lambda i: F.lpad(F.hex(i), 2 * width, "0"))
+    values = values.select("unit", F.unhex(F.array_join(digits, "")).alias("ids"))
     valued = terms.join(values, F.col("term") == F.col("unit")).select("block", "place", "ids")
 
     def line_up(block: dict, values: pa.Table) -> pa.Table:
-        per_doc, places, marks, stream = unpack(block["packed"])
+        per_doc, places, marks, long_sizes, long_flat, planes = unpack(block["packed"])
         n = int(per_doc.sum())
-        stream = stream.view(np.uint8)[: 4 * n].reshape(4, n).T.copy().view("<i4").ravel()
-        lists = values["ids"].combine_chunks()
-        at, lengths = np.zeros((2, len(places)), dtype=np.int64)
+        planes = planes.view(np.uint8)[: 4 * n].reshape(4, n)
+        found = values["ids"].combine_chunks() if values.num_rows else pa.array([], pa.binary())
+        ends = np.frombuffer(found.buffers()[1], "<i4")[found.offset : found.offset + len(found) + 1] // width if len(found) else np.zeros(1, np.int64)
+        flat = np.frombuffer(found.buffers()[2], f">u{width}")[: ends[-1]].astype(np.int32) if len(found) else np.empty(0, np.int32)
+        at, sizes = np.zeros((2, len(places)), dtype=np.int32)
         where = values["place"].to_numpy()
-        offsets = lists.offsets.to_numpy()
-        at[where], lengths[where] = offsets[:-1], np.diff(offsets)
-        unit = places[stream]
-        size = lengths[unit]
-        ends = np.cumsum(size)
-        flat = lists.values.to_numpy()[np.repeat(at[unit] - (ends - size), size) + np.arange(size.sum())]
-        doc_ends = np.concatenate([[0], ends])[np.cumsum([0, *per_doc])]
-        hashes, text = marks.tobytes(), _decoder(load_pieces(path))
-        byte = np.isin(flat, pieces.byte_ids)
-        out = []
-        for i, (a, b) in enumerate(zip(doc_ends[:-1], doc_ends[1:], strict=True)):
-            mine = flat[a:b].tolist()
-            same = hashlib.sha256(text(mine).encode()).digest() == hashes[32 * i : 32 * i + 32]
-            digest = hashlib.sha256(flat[a:b].astype("<i4").tobytes()).hexdigest()
-            out.append((b - a, int(byte[a:b].sum()), digest, same))
-        counts, in_bytes, digests, same = zip(*out, strict=True)
-        ids_array = pa.ListArray.from_arrays(pa.array(doc_ends, pa.int32()), pa.array(flat, pa.int32()))
+        at[where], sizes[where] = ends[:-1], np.diff(ends)
+        first_long = len(places) - len(long_sizes)
+        at[first_long:] = len(flat) + np.cumsum(long_sizes) - long_sizes
+        sizes[first_long:] = long_sizes
+        flat = np.concatenate([flat, long_flat])
+        hashes, text, byte_ids = marks.tobytes(), _decoder(load_pieces(path)), np.array(pieces.byte_ids)
+        ids, counts, in_bytes, digests, same = [], [], [], [], []
+        begin = 0
+        for i, units in enumerate(per_doc.tolist()):
+            own = np.ascontiguousarray(planes[:, begin : begin + units].T).view("<i4").ravel()
+            begin += units
+            unit = places[own]
+            mine = flat[_spread(at[unit], sizes[unit])].astype(np.int32)
+            ids.append(mine)
+            counts.append(len(mine))
+            in_bytes.append(int(np.isin(mine, byte_ids).sum()))
+            digests.append(hashlib.sha256(mine.astype("<i4").tobytes()).hexdigest())
+            same.append(hashlib.sha256(text(mine.tolist()).encode()).digest() == hashes[32 * i : 32 * i + 32])
+        ends = np.cumsum([0, *counts])
+        ids_array = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
         doc_ids = pa.array(block["ids"], type={"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(id_type))
         columns = [doc_ids, ids_array, pa.array(counts, pa.int64()), pa.array(in_bytes, pa.int64()), pa.array(digests), pa.array(same)]
         return pa.table(columns, names=["doc_id", "ids", "n_ids", "n_byte_ids", "ids_sha256", "round_trip"])
