@@ -58,20 +58,20 @@ def blocks_of(docs: DataFrame, make: Callable[[], Block], id_col: str, text_col:
     id_type = rows.schema["id"].dataType.simpleString()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number, kind = TaskContext.get().partitionId() << 32, pa.null()
         block, ids, chars = make(), [], 0
         for batch in batches:
-            batch_ids = batch.column(0).to_pylist()
+            batch_ids, kind = batch.column(0).to_pylist(), batch.schema.field(0).type
             for i, text in enumerate(batch.column(1)):
                 text = text.as_py()
                 block.add(text)
                 ids.append(batch_ids[i])
                 chars += len(text)
                 if chars >= BLOCK_CHARS:
-                    yield _row(number, ids, block, batch.schema.field(0).type)
+                    yield _row(number, ids, block, kind)
                     number, block, ids, chars = number + 1, make(), [], 0
         if ids:
-            yield _row(number, ids, block, None)
+            yield _row(number, ids, block, kind)
 
     shape = f"block long, ids array<{id_type}>, packed binary, terms array<string>"
     made = rows.mapInArrow(gather, shape)
@@ -84,12 +84,12 @@ def blocks_of(docs: DataFrame, make: Callable[[], Block], id_col: str, text_col:
     return table
 
 
-def _row(number: int, ids: list, block: Block, id_type: pa.DataType | None) -> pa.RecordBatch:
+def _row(number: int, ids: list, block: Block, kind: pa.DataType) -> pa.RecordBatch:
     packed, terms = block.packed()
-    ids_array = pa.array([ids], type=pa.list_(id_type) if id_type else None)
-    if pa.types.is_null(ids_array.type.value_type):
-        ids_array = ids_array.cast(pa.list_(pa.int64()))
-    columns = [pa.array([number], pa.int64()), ids_array, pa.array([packed], pa.binary()), pa.array([terms], pa.list_(pa.string()))]
+    columns = [
+        pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)),
+        pa.array([packed], pa.binary()), pa.array([terms], pa.list_(pa.string())),
+    ]
     return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "packed", "terms"])
 
 

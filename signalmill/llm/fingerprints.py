@@ -144,15 +144,13 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     @F.pandas_udf("array<struct<part:int,follows:boolean>>")
     def places(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        own = np.full(len(ids), last)
-        own[known] = ranges.number(ids[known].to_numpy(np.int64))
-        also = ids.map(ranges.also)
-        return pd.Series(
-            [[(int(p), False)] if pd.isna(a) else [(int(p), False), (int(a), True)] for p, a in zip(own, also, strict=True)]
-        )
-
-    placed = rows.select("id", "text", F.inline(places("id")))
+        own, also = ranges.number(ids.to_numpy(np.int64)).tolist(), map(ranges.also.get, ids.tolist())
+        return pd.Series([[(p, False)] if a is None else [(p, False), (a, True)] for p, a in zip(own, also, strict=True)])
+
+    # a null among them would turn a batch's ids into floating-point numbers
+    known = places(F.coalesce("id", F.lit(0)))
+    alone = F.array(F.struct(F.lit(last).alias("part"), F.lit(False).alias("follows")))
+    placed = rows.select("id", "text", F.inline(F.when(F.col("id").isNull(), alone).otherwise(known)))
     order = ["part", "follows", F.col("id").desc_nulls_last(), "text"]
     return placed.repartition(parts, "part").sortWithinPartitions(*order)
 

@@ -8,6 +8,7 @@ no join and no shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -93,14 +94,12 @@ def sentence_ids(rules: Sequence[Rule] = RULES) -> dict[str, int]:
     """
     known: dict[str, int] = {}
     for rule in rules:
-        for part in _parts(rule):
+        for part in rule_sentences(rule):
             known.setdefault(part, len(known) + 1)
     return known
 
 
-def _parts(rule: Rule) -> list[str]:
-    import re
-
+def rule_sentences(rule: Rule) -> list[str]:
     texts = [re.split(r"[.!?]+(?:[\x20\x09-\x0D]|\Z)|\n", s) for s in rule.sentences]
     return [n for parts in texts for p in parts if (n := normal_sentence(p))]
 
@@ -134,7 +133,7 @@ def scan(
         .withColumn("_line", F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(",")))
     )
     hits = [
-        F.when(F.col("_line").contains("," + ",".join(str(known[p]) for p in _parts(rule)) + ","), F.lit(rule.license))
+        F.when(F.col("_line").contains("," + ",".join(str(known[p]) for p in rule_sentences(rule)) + ","), F.lit(rule.license))
         for rule in rules
     ]
     none = F.array().cast("array<string>")

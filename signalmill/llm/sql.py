@@ -62,7 +62,7 @@ def license_scan() -> str:
     names, ids = list(known), list(known.values())
     quoted = "[" + ", ".join(f"'{n}'" for n in names) + "]"
     hits = ", ".join(
-        f"CASE WHEN contains(line, ',{','.join(str(known[p]) for p in licenses._parts(r))},') THEN '{r.license}' END"
+        f"CASE WHEN contains(line, ',{','.join(str(known[p]) for p in licenses.rule_sentences(r))},') THEN '{r.license}' END"
         for r in licenses.RULES
     )
     assert ids == list(range(1, len(ids) + 1))
