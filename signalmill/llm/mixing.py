@@ -99,7 +99,8 @@ def mix(
         F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("_gift")).alias("_gifts")
     )
     means = sizes.select("source", F.try_divide("_gifts", "source_size").alias("_mean"))
-    targets = _with_source(source_targets(sizes.drop("_gifts"), weights, most), means)
+    # one row per source; written, so that what follows joins it by its known size instead of making it again
+    targets = staged(_with_source(source_targets(sizes.drop("_gifts"), weights, most), means), "mix-targets")
     joined = _with_source(rows, targets)
     own = F.when(F.col("_mean") > 0, F.col("_gift") / F.col("_mean")).otherwise(1.0)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -117,9 +118,9 @@ def mix(
         (F.first("target") - F.sum(F.col("_whole") * F.col("size"))).alias("_missing")
     )
     coarse = F.floor(F.col("_cell") / _CELLS)
-    first = _edge(open_rows, missing.withColumn("_before", F.lit(0)), coarse)
+    first = staged(_edge(open_rows, missing.withColumn("_before", F.lit(0).cast("long")), coarse), "mix-edges")
     inside = _with_source(open_rows, first.select("source", F.col("_edge").alias("_at"))).where(coarse == F.col("_at"))
-    second = _edge(inside, first.select("source", "_missing", "_before"), F.col("_cell"))
+    second = staged(_edge(inside, first.select("source", "_missing", "_before"), F.col("_cell")), "mix-edges")
     last = _with_source(open_rows, second).where(F.col("_cell") == F.col("_edge"))
     upto = Window.partitionBy("source").orderBy("_rank", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     fits = F.col("_before") + F.coalesce(F.sum("size").over(upto), F.lit(0)) + F.col("size") / 2 <= F.col("_missing")
