@@ -106,10 +106,14 @@ def likeness(a: str, b: str) -> float:
 
 @dataclass(frozen=True)
 class _Ranges:
-    """Ranges of ids in descending order, and where each range's followers come from."""
+    """Ranges of ids in descending order, where each range's followers come from, and the range that ends the order.
+
+    The last range holds the null ids too. Without an id it holds all rows, and its own first row follows its last.
+    """
 
     cuts: np.ndarray
     also: dict[int, int]
+    last: int
 
     def number(self, ids: np.ndarray) -> np.ndarray:
         return len(self.cuts) - np.searchsorted(self.cuts, ids, side="right")
@@ -123,24 +127,27 @@ def _ranges(ids: DataFrame, parts: int) -> _Ranges:
     """
     steps = [i / parts for i in range(1, parts)] or [0.5]
     marks = ids.agg(F.percentile_approx("id", F.array(*map(F.lit, steps)), F.lit(max(1000, 20 * parts)))).first()[0]
-    plain = _Ranges(np.unique(np.array(marks or [], dtype=np.int64)), {})
+    plain = _Ranges(np.unique(np.array(marks or [], dtype=np.int64)), {}, 0)
     number = F.pandas_udf(lambda s: pd.Series(plain.number(s.to_numpy(np.int64))), "int")
     tops = ids.where("id IS NOT NULL").groupBy(number("id").alias("part")).agg(F.max("id").alias("top")).collect()
     tops = sorted((r["part"], r["top"]) for r in tops)
-    before = [len(plain.cuts)] + [p for p, _ in tops[:-1]]  # the last range also holds the ids that are null
-    return _Ranges(plain.cuts, {top: b for b, (_, top) in zip(before, tops, strict=False)})
+    if not tops:
+        return plain
+    last = tops[-1][0]  # cuts may leave ranges empty, so not always the one below all cuts
+    before = [last] + [p for p, _ in tops[:-1]]
+    return _Ranges(plain.cuts, {top: b for b, (_, top) in zip(before, tops, strict=True)}, last)
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
     """Rows id, text, part, follows, so placed that each is followed by the next document, by descending id.
 
     Texts move once, into ranges of ids; a row with ``follows`` is a copy of the next range's first
-    document and has no result of its own. Equal ids are ordered by text, null ids are last.
+    document and has no result of its own. Equal ids are ordered by text, null ids are last. If all ids are
+    null (the second value), there are no copies, and the first row follows the last one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = _ranges(rows.select("id"), parts)
-    last = len(ranges.cuts)
 
     @F.pandas_udf("array<struct<part:int,follows:boolean>>")
     def places(ids: pd.Series) -> pd.Series:
@@ -149,10 +156,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     # a null among them would turn a batch's ids into floating-point numbers
     known = places(F.coalesce("id", F.lit(0)))
-    alone = F.array(F.struct(F.lit(last).alias("part"), F.lit(False).alias("follows")))
+    alone = F.array(F.struct(F.lit(ranges.last).alias("part"), F.lit(False).alias("follows")))
     placed = rows.select("id", "text", F.inline(F.when(F.col("id").isNull(), alone).otherwise(known)))
     order = ["part", "follows", F.col("id").desc_nulls_last(), "text"]
-    return placed.repartition(parts, "part").sortWithinPartitions(*order)
+    return placed.repartition(parts, "part").sortWithinPartitions(*order), not ranges.also
 
 
 def edited(text: str, following: str) -> str:
@@ -170,8 +177,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each other by text, and null ids come last; other columns are ignored.
     """
 
+    placed, ring = with_next(docs, id_col, text_col)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = first = None
         for batch in batches:
             out = []
             columns = (batch.column(i).to_pylist() for i in range(4))
@@ -181,10 +190,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     out.append(_row(*held[:2], held[3], text, mark))
                 # a copy may stand twice if its id does; only the first follows
                 held = None if follows else (number, text, part, mark)
+                first = first or held
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=_SCHEMA)
+        if ring and held is not None:
+            yield pa.RecordBatch.from_pylist([_row(*held[:2], held[3], first[1], first[3])], schema=_SCHEMA)
 
-    return with_next(docs, id_col, text_col).mapInArrow(walk, _SHAPE)
+    return placed.mapInArrow(walk, _SHAPE)
 
 
 _SCHEMA = pa.schema(

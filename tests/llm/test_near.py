@@ -175,6 +175,16 @@ def test_next_document_and_edited_text(spark, set_conf):
         assert r["near_next"] == likeness(fingerprint(text), fingerprint(following))
 
 
+@pytest.mark.parametrize("ids", [[4], [None], [3, 1, 2], [None] * 3, [5, None, None], [7, 9, None], list(range(200)), [1] * 150 + [2, 3, 5]])
+def test_no_document_is_left_without_a_follower(spark, set_conf, ids):
+    set_conf("spark.sql.shuffle.partitions", "200")
+    rows = [(i, f"text {n:03}") for n, i in enumerate(ids)]
+    found = fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    wanted = [(i, hashlib.sha256(edited(t, order[(n + 1) % len(order)][1]).encode()).hexdigest()) for n, (i, t) in enumerate(order)]
+    assert sorted(((r["doc_id"], r["edited_sha256"]) for r in found), key=repr) == sorted(wanted, key=repr)
+
+
 def test_anchors_are_closed_syncmers_and_context_free():
     rng = random.Random(4)
     text = "".join(rng.choices("abcdefghij ", k=2000))
