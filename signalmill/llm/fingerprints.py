@@ -4,7 +4,8 @@ A k-mer of code points is an anchor if the smallest of its inner s-mers is its
 first or its last. That depends on the k-mer alone, so an anchor survives any
 edit outside of it. A fingerprint holds the anchors with the smallest hashes
 and where in the text each first stands; two fingerprints match where the same
-anchor stands at nearly the same place.
+anchor stands at nearly the same place, seen from the start, from the end or after the shift that
+most of their common anchors have made.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from signalmill.llm.common import text_or_empty
 
 K, S = 20, 6
 ANCHORS = 48
-#: Places are 1/256 of the text; an anchor may have moved by so many of them.
+#: An anchor may have moved by so many 256ths of the shorter text's length in code points.
 MOVED = 16
+#: Hex digits of an anchor's hash, and of a place or length.
+_HASH, _PLACE = 8, 8
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,8 +66,9 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprint(text: str) -> str:
-    """Ten hex digits per anchor: 8 of its hash and 2 of its place, by hash; empty for an empty text.
+    """Hex digits: 8 of the text's length, then per anchor 8 of its hash and 8 of its offset, by hash; empty for an empty text.
 
+    Length and offsets are in code points.
     A text that is too short for an anchor is one anchor as a whole.
     """
     if not text:
@@ -81,8 +85,26 @@ def fingerprint(text: str) -> str:
     while len(values) < ANCHORS and len(hashes) > len(at):  # they were repeats of a few
         short, at = (hashes >> np.uint64(32)).astype(np.uint32), anchors(text)[1]
         values, first = np.unique(short, return_index=True)
-    places = at[first[:ANCHORS]] * 256 // len(text)
-    return "".join(f"{h:08x}{p:02x}" for h, p in zip(values[:ANCHORS].tolist(), places.tolist(), strict=True))
+    places = at[first[:ANCHORS]]
+    return f"{len(text):08x}" + "".join(f"{h:08x}{p:08x}" for h, p in zip(values[:ANCHORS].tolist(), places.tolist(), strict=True))
+
+
+def _read(mark: str) -> tuple[int, dict[int, int]]:
+    """A fingerprint's length and the places of its anchors by hash."""
+    size = _HASH + _PLACE
+    places = {int(mark[i : i + _HASH], 16): int(mark[i + _HASH : i + size], 16) for i in range(_PLACE, len(mark), size)}
+    return int(mark[:_PLACE] or "0", 16), places
+
+
+def _main_shift(shifts: list[int], most: int) -> int:
+    """The middle of the stretch of ``2 * most`` that holds the largest number of shifts."""
+    shifts, best, at, j = sorted(shifts), 0, 0, 0
+    for i, low in enumerate(shifts):
+        while j < len(shifts) and shifts[j] <= low + 2 * most:
+            j += 1
+        if j - i > best:
+            best, at = j - i, (low + shifts[j - 1]) // 2
+    return at
 
 
 def likeness(a: str, b: str) -> float:
@@ -91,16 +113,21 @@ def likeness(a: str, b: str) -> float:
     Of the smallest hashes of both together, those in both at nearly the same place
     give the Jaccard index J of the anchors; the result is 2 J / (1 + J), the shared part of
     two texts of equal length. Equal fingerprints give 1, an empty one and another 0.
+
+    Places agree if they differ by 0 (counted from the start), by the difference of the lengths (from the end) or by
+    the common anchors' main shift, each within ``MOVED`` 256ths of the shorter text.
     """
     if a == b:
         return 1.0
-    left = {a[i : i + 8]: int(a[i + 8 : i + 10], 16) for i in range(0, len(a), 10)}
-    right = {b[i : i + 8]: int(b[i + 8 : i + 10], 16) for i in range(0, len(b), 10)}
+    (n, left), (m, right) = _read(a), _read(b)
     full = [max(x) for x in (left, right) if len(x) == ANCHORS]
     union = sorted(left.keys() | right.keys())
     # beyond the largest hash of a full fingerprint, that text's anchors are not known
     union = [h for h in union if not full or h <= min(full)]
-    same = sum(h in left and h in right and abs(left[h] - right[h]) <= MOVED for h in union)
+    shifts = [right[h] - left[h] for h in union if h in left and h in right]
+    most = max(1, MOVED * min(n, m) // 256)
+    allowed = (0, m - n, _main_shift(shifts, most))
+    same = sum(any(abs(s - x) <= most for x in allowed) for s in shifts)
     return 2 * same / (len(union) + same) if union else 0.0
 
 

@@ -207,3 +207,17 @@ def test_likeness_follows_the_shared_part():
         cut = int(len(text) * part)
         assert abs(likeness(mark, fingerprint(text[:cut] + other[cut:])) - part) < 0.2
     assert likeness("", mark) == 0 and likeness("", "") == 1
+
+
+@pytest.mark.parametrize("a, b", [(0, 3000), (0, 1500), (3000, 6000), (4500, 6000), (1700, 4700), (2000, 3500)])
+def test_likeness_of_texts_of_different_lengths(a, b):
+    rng = random.Random(6)
+    text = "".join(rng.choices("abcdefghijklmno ", k=6000))
+    mark, part = fingerprint(text), fingerprint(text[a:b])
+    share = 2 * (b - a) / (6000 + b - a)
+    assert abs(likeness(mark, part) - share) < 0.2 and likeness(mark, part) == likeness(part, mark)
+    short = "".join(rng.choices("abcdefghijklmno ", k=200))
+    assert abs(likeness(mark, fingerprint(edited(text, short))) - 2 / 3) < 0.2
+    # the same anchors, but in another order
+    swapped = "".join(text[i : i + 500] for i in rng.sample(range(0, 6000, 500), 12))
+    assert likeness(mark, fingerprint(swapped)) < 0.7
