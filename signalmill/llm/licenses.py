@@ -1,9 +1,9 @@
 """License scans by recognising sentences, without Python in tasks.
 
-A text is cut into sentences, each is normalised and looked up among the
-sentences of known licenses, and the identifiers found, in the order of the text,
-are matched against ordered rules. All of it stays within the row: there is
-no join and no shuffle.
+A text is cut at stops and line ends, the pieces are normalised, and the sentences of known
+licenses are looked up among them, each as one piece or wrapped over consecutive lines, with or without comment
+marks. The identifiers found, in the order of the text, are matched against ordered rules. All of
+it stays within the row: there is no join and no shuffle.
 """
 
 from __future__ import annotations
@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from signalmill.llm.common import text_or_empty
 
-#: End of a sentence: stops before a blank or the end of the text. A new line ends one as well.
+#: End of a sentence: stops before a blank or the end of the text. A new line may end one, a blank line does.
 SENTENCE_END = r"[.!?]+([\x20\x09-\x0D]|\z)"
 _NOT_PLAIN = "[^a-z0-9]+"
+#: Comment marks made of letters, as they stand at the start of a line; others are no part of a normalised line.
+_MARK = "(?:(?:dnl|rem) )?"
 
 
 @dataclass(frozen=True)
@@ -104,11 +106,20 @@ def rule_sentences(rule: Rule) -> list[str]:
     return [n for parts in texts for p in parts if (n := normal_sentence(p))]
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, empty ones left out."""
-    cut = F.split(F.regexp_replace(text, SENTENCE_END, "\n"), "\n")
-    normal = F.transform(cut, lambda s: F.trim(F.regexp_replace(F.lower(s), _NOT_PLAIN, " ")))
-    return F.filter(normal, lambda s: s != "")
+def pieces(text: Column) -> Column:
+    """Normalised pieces between stops and line ends; one that is empty stands at every stop and blank line."""
+    cut = F.split(F.regexp_replace(text, SENTENCE_END, "\n\n"), "\n")
+    return F.transform(cut, lambda s: F.trim(F.regexp_replace(F.lower(s), _NOT_PLAIN, " ")))
+
+
+def known_sentences(lines: Column, known: Sequence[str]) -> Column:
+    """The known sentences among pieces joined by new lines, in order; the longest where several start.
+
+    Any blank of a sentence may be a line end, but not a stop or a blank line, which are two.
+    """
+    wrapped = [s.replace(" ", f"(?: |\n{_MARK})") for s in sorted(known, key=len, reverse=True)]
+    found = F.regexp_extract_all(lines, F.lit(rf"(?<![^\n]){_MARK}({'|'.join(wrapped)})(?![^\n])"), F.lit(1))
+    return F.transform(found, lambda s: F.regexp_replace(s, f"\n{_MARK}", " "))
 
 
 def scan(
@@ -116,20 +127,23 @@ def scan(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_sentences, sentence_ids, n_matches, licenses.
 
-    ``sentence_ids`` are the known sentences in the order of the text, repeats
-    included; ``n_matches`` counts the rules that match, and ``licenses`` are
-    their distinct names in alphabetical order.
+    ``n_sentences`` counts the pieces between stops and line ends. ``sentence_ids`` are the
+    known sentences in the order of the text, repeats included, whether or not they are wrapped;
+    ``n_matches`` counts the rules that match, and ``licenses`` are their distinct names in alphabetical order.
 
     Null and empty texts have no sentences and no licenses. Repeated rows are
     scanned each for itself; other columns are ignored.
     """
     known = sentence_ids(rules)
     numbers = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    # membership is tested by hash, so the map is looked up for known sentences only
-    found = F.transform(F.filter("_sentences", lambda s: s.isin(*known)), lambda s: F.element_at(numbers, s))
+    found = known_sentences(F.array_join("_pieces", "\n"), list(known))
     rows = (
-        docs.select(F.col(id_col).alias("doc_id"), sentences(text_or_empty(text_col)).alias("_sentences"))
-        .select("doc_id", F.size("_sentences").cast("long").alias("n_sentences"), found.alias("sentence_ids"))
+        docs.select(F.col(id_col).alias("doc_id"), pieces(text_or_empty(text_col)).alias("_pieces"))
+        .select(
+            "doc_id",
+            F.size(F.filter("_pieces", lambda s: s != "")).cast("long").alias("n_sentences"),
+            F.transform(found, lambda s: F.element_at(numbers, s)).alias("sentence_ids"),
+        )
         .withColumn("_line", F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(",")))
     )
     hits = [

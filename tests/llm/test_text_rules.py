@@ -3,6 +3,7 @@
 import itertools
 import math
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from check import compare, sql_tables
 from conftest import FOLDER
 from signalmill.llm import personal
 from signalmill.llm.language import codewords, features, fit, held_out, identify, predict, train
+from signalmill.llm.licenses import RULES as LICENSE_RULES
 from signalmill.llm.licenses import Rule, normal_sentence, scan
 from signalmill.llm.mixing import mix, mixed_documents, source_targets
 from signalmill.llm.quality import BASE, POLICIES, RULES, ablations, kept, ledger
@@ -83,6 +85,20 @@ def test_license_rules_follow_the_order(spark):
     assert normal_sentence(" The  (MIT) License, ") == "the mit license"
 
 
+def test_wrapped_sentences_of_every_rule_are_found(spark):
+    texts, wanted = [], []
+    for rule in LICENSE_RULES:
+        for width, mark, end in itertools.product((24, 40, 72, 80), ("", "    ", "# ", " * ", "// ", "dnl ", "REM "), ("\n", "\r\n")):
+            body = [textwrap.wrap(s + ("" if s.endswith(":") else "."), width) + [""] for s in rule.sentences]
+            texts.append(end.join((mark + line).rstrip() for line in ["Copyright (c) 2020 A B", "", *sum(body, []), "More words here"]))
+            wanted.append(rule.license)
+    found = sorted(scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)).collect())
+    assert [r["licenses"] for r in found] == [[w] for w in wanted]
+    apart = ["Released under\n\nthe MIT License", "Released under.\nthe MIT License", "Released under\n#\n# the MIT License", "x\nReleased under the MIT License\ny"]
+    found = sorted(scan(spark.createDataFrame(list(enumerate(apart)), "doc_id long, text string")).collect())
+    assert [r["licenses"] for r in found] == [[], [], [], ["MIT"]]
+
+
 def test_planted_licenses_are_found(spark, folder):
     docs = spark.read.parquet(f"{folder.replace('0.001', '0.01')}/documents.parquet")
     plain = docs.where(F.col("text").rlike(r"(?m)^(Released under the MIT License|Licensed under CC BY-NC 4\.0|Licensed under the Apache License, Version 2\.0)\.$"))
