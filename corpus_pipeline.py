@@ -30,7 +30,7 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of similar ones."""
+    """Keeps one document of each group of similar ones, that with the smallest id."""
     from signalmill.llm.jaccard import first_of_each
 
     return first_of_each(docs)

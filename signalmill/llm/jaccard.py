@@ -39,6 +39,8 @@ MOST_COMMON = 500_000
 BROADCAST_IDS = 500_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
+#: Column of the row marks that are landed with documents.
+_MARK = "_landed_row_mark"
 
 
 class _Hashes(dict):
@@ -334,13 +336,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those that are similar to another and do not have the smallest id of their component.
+    """One row of each group of similar ones: that with the smallest id (null ids come last), then text hash.
 
-    Rows that share an id stay or go together.
+    Of rows equal in both, one stays. Each row is judged by its own text, whatever other rows have its id. Rows
+    without a shingle are similar to nothing and stay.
     """
-    found = similar_documents(docs, id_col, text_col)
-    gone = found.where("doc_id IS DISTINCT FROM component_id").select(F.col("doc_id").alias("_similar_to_another")).distinct()
+    # rows are told apart by a mark, which has to be landed to stay the same
+    rows = staged(docs.withColumn(_MARK, F.monotonically_increasing_id()), "marked-documents")
+    found = similar_documents(rows, _MARK, text_col).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"), F.col(_MARK).alias("r"))
+    keys = rows.select(F.col(_MARK).alias("_mark"), order.alias("_order"))
+    groups = staged(found.join(keys, F.col("_row") == F.col("_mark")).select("_row", "component_id", "_order"), "similar-rows")
+    first = groups.groupBy("component_id").agg(F.min("_order").alias("_first")).select(F.col("_first.r").alias("_kept"))
+    gone = groups.join(first, F.col("_row") == F.col("_kept"), "left_anti").select(F.col("_row").alias("_similar_to_another"))
     gone = staged(gone, "similar-ids")
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_similar_to_another"]), "left_anti")
+    return rows.join(gone, rows[_MARK] == gone["_similar_to_another"], "left_anti").select(*docs.columns)

@@ -91,6 +91,22 @@ def test_words_are_lower_cased_in_ascii_only():
     assert shingles("a b", hashes).tolist() != shingles("a b", hashes).tolist()
 
 
+def test_one_row_of_each_group_stays(spark):
+    same, near = "a b c d e f g h i j k l m n o p q r s t u v w x y z".split(), "two texts that are alike in all of their words but not with the other ones".split()
+    clean = [f"a clean text number {i} with words of its own {i} {i + 1} {i + 2}" for i in range(4)]
+    rows = [
+        (None, " ".join(same)), (1, " ".join(same)), (None, clean[0]), (None, clean[1]), (None, None), (None, ""),  # a null id linked to an id
+        (2, " ".join(same[:-1])), (2, clean[2]),  # an id of a duplicate and of a clean text
+        (3, clean[3]), (3, clean[3]),  # equal rows
+        (None, " ".join(near)), (None, " ".join(near)), (None, " ".join(near[:-1])),  # null ids only
+    ]
+    found = [tuple(r) for r in jaccard.first_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    last = [r for r in found if r[1] and r[1].startswith("two texts")]
+    assert len(last) == 1 and last[0] in rows
+    wanted = [(1, " ".join(same)), (None, clean[0]), (None, clean[1]), (None, None), (None, ""), (2, clean[2]), (3, clean[3])]
+    assert sorted(set(found) - set(last), key=repr) == sorted(wanted, key=repr) and len(found) == len(wanted) + 1
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
