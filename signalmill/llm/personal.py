@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,9 +25,8 @@ from pyspark.sql import functions as F
 from signalmill.llm.common import text_or_empty
 
 KINDS = ("email", "ip", "card", "phone", "secret")
-#: Longest segment in atoms, and most atoms that one run of the dynamic programming takes; longer islands are cut there.
+#: Longest segment in atoms.
 LONGEST = 16
-ISLAND_ATOMS = 400
 #: Islands per kind (and without any) that the field is trained on; the one bound of the training.
 SAMPLE_ISLANDS = 150
 
@@ -135,10 +135,14 @@ class Lattice:
     segments: list[tuple[int, int, tuple[str, ...]]]
 
 
-def lattice(text: str, start: int, end: int) -> Lattice:
-    atoms = [m.span() for m in _ATOM.finditer(text, start, end)][:ISLAND_ATOMS]
+def _word_before(text: str, start: int) -> str:
     m = _LAST_WORD.search(text[max(0, start - 40) : start])
-    word = m.group(1).lower() if m and len(m.group(1)) < 12 else ""
+    return m.group(1).lower() if m and len(m.group(1)) < 12 else ""
+
+
+def lattice(text: str, start: int, end: int) -> Lattice:
+    atoms = [m.span() for m in _ATOM.finditer(text, start, end)]
+    word = _word_before(text, start)
     segments = []
     for i, (a, _) in enumerate(atoms):
         if not (text[a].isalnum() or text[a] in "+("):
@@ -164,15 +168,36 @@ class Field:
         return np.array(rows).reshape(-1, len(KINDS))
 
     def best(self, text: str, start: int, end: int) -> list[Span]:
-        """The likeliest segmentation's spans; an atom outside of spans scores 0."""
+        """The likeliest segmentation's spans; an atom outside of spans scores 0.
+
+        The same as ``_path`` over the island's lattice, but atom by atom: it holds the last ``LONGEST`` atoms with the
+        best score before each and the spans that gave it, which share their beginnings.
+        """
+        word, names = _word_before(text, start), self.names
+        total, path, telling = 0.0, None, -1
+        recent: deque[tuple[int, float, tuple | None]] = deque(maxlen=LONGEST)
+        for j, m in enumerate(_ATOM.finditer(text, start, end)):
+            a, b = m.span()
+            recent.append((a, total, path))
+            if _TRIGGER.search(text, a, b):
+                telling = j
+            if not text[b - 1].isalnum():
+                continue
+            # a segment holds the last telling atom
+            first = j + 1 - len(recent)
+            for i in range(first, telling + 1):
+                at, before, spans = recent[i - first]
+                if not (text[at].isalnum() or text[at] in "+("):
+                    continue
+                row = self.weights[[names[f] for f in features(text, at, b, word) if f in names]].sum(0)
+                k = int(row.argmax())
+                if row[k] > 0 and before + float(row[k]) > total:
+                    total, path = before + float(row[k]), (spans, KINDS[k], at, b)
         found: list[Span] = []
-        while start < end:
-            grid = lattice(text, start, end)
-            if not grid.starts:
-                break
-            found += self._path(grid)
-            start = grid.ends[-1] if len(grid.starts) == ISLAND_ATOMS else end
-        return found
+        while path:
+            found.append(path[1:])
+            path = path[0]
+        return found[::-1]
 
     def _path(self, grid: Lattice) -> list[Span]:
         n = len(grid.starts)

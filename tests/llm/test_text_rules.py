@@ -143,6 +143,18 @@ def test_dynamic_programming_finds_the_best_segmentation(field):
         assert math.isclose(sum(top[ends[a, b]] for _, a, b in fake._path(grid)), best, abs_tol=1e-9) or best < sum(top[ends[a, b]] for _, a, b in fake._path(grid))
 
 
+def test_long_islands_are_not_cut(field):
+    key = "00ff17aa9c3be8a1b2c3d4e5f60718293a4b5c6d"
+    for fill in range(380, 404):
+        text = "x," * (fill // 2) + "," * (fill % 2) + f'key="{key}",(682)555-6413,' + "y," * 300
+        grid = personal.lattice(text, 0, len(text))
+        assert len(grid.starts) > 800 and field.best(text, 0, len(text)) == field._path(grid)
+        assert ("secret", text.index(key), text.index(key) + len(key)) in field.best(text, 0, len(text))
+    part = f'"key":"{key}",'
+    whole = [(k, a, b) for k, a, b in field.best(part * 3000, 0, len(part) * 3000) if k == "secret"]
+    assert whole == [("secret", i * len(part) + 7, (i + 1) * len(part) - 2) for i in range(3000)]
+
+
 def test_spans_of_documents_hold_the_base(spark, folder, field):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
