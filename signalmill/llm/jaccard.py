@@ -2,8 +2,8 @@
 
 Sets are ordered rarest first: shingles seen in many documents come last, the
 others stand by hash. Two similar sets share a shingle among the first few of each
-(prefix filter), at places early enough for the rest to suffice (positional filter); list
-entries at later places are skipped.
+(prefix filter), at places early enough for the rest to suffice (positional filter), which
+is tested on the pairs that lists form; no part of a list is skipped by place.
 
 Answers are derived, not recomputed, for sets that are highly similar to one already answered. Each list is
 first checked against its first set only. What links becomes a cluster around a hub, at a
