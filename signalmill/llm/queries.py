@@ -102,6 +102,31 @@ def op10_license_scan(spark, folder):
     )
 
 
+@CATALOGUE.query("op11_embedding_whitening")
+def op11_embedding_whitening(spark, folder):
+    from signalmill.llm.whitening import whitened_rows
+
+    white = whitened_rows(table(spark, folder, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@CATALOGUE.query("op12_chat_formatting", sql.chat_formatting())
+def op12_chat_formatting(spark, folder):
+    from signalmill.llm.chat import format_conversations, read_back
+
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    says = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], given.schema)
+    return read_back(format_conversations(given.union(planted)), arranged=True)
+
+
+@CATALOGUE.query("op13_phrase_collocations", sql.phrase_collocations())
+def op13_phrase_collocations(spark, folder):
+    from signalmill.llm.phrases import collocations
+
+    return collocations(table(spark, folder, "documents"))
+
+
 def all_queries():
     return dict(CATALOGUE.queries)
 

@@ -76,3 +76,46 @@ lined AS (SELECT *, ',' || array_to_string(ids, ',') || ',' AS line FROM found),
 hit AS (SELECT *, list_filter([{hits}], lambda h: h IS NOT NULL) AS hits FROM lined)
 SELECT doc_id, n_sentences, len(hits)::BIGINT AS n_matches, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
     coalesce(array_to_string(list_sort(list_distinct(hits)), ','), '') AS licenses FROM hit"""
+
+
+def _added_signs(text: str) -> str:
+    """Signs that escaping adds: one per backslash, per place where an opener's mark begins, and per closer."""
+    marks = f"list_sum(list_transform(regexp_extract_all({text}, '#{{3,}}'), lambda m: length(m) - 2))"
+    return f"(length({text}) - length(replace({text}, chr(92), '')) + coalesce({marks}, 0) + len(regexp_extract_all({text}, '</turn>')))"
+
+
+def chat_formatting() -> str:
+    name = f"""CASE role WHEN 'system' THEN 6 WHEN 'user' THEN 4 WHEN 'assistant' THEN 9
+        ELSE 5 + length(role) + {_added_signs("role")} + length(role) - length(replace(role, chr(10), '')) END"""
+    says = "chr(92) || '### Assistant: </turn> ok'"
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', {says} UNION ALL SELECT -7, 1, 'assistant', {says}),
+m AS (SELECT *, 4 + {name} + 2 + length(text) + {_added_signs("text")} + 8 AS chars FROM t),
+c AS (SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS learned
+    FROM m GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars
+FROM c"""
+
+
+def phrase_collocations(least: int = 100, longest: int = 5, top: int = 2000) -> str:
+    return f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+s AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS words
+    FROM w, range(1, {longest} + 1) x(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, words, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= {least}),
+cut AS (SELECT lang, k, words, f, unnest(range(1, k)) AS j FROM f WHERE k > 1),
+scored AS (SELECT cut.*, l.f AS l, r.f AS r, s.n, (1000::HUGEINT * cut.f * s.n) // (l.f::HUGEINT * r.f) AS score
+    FROM cut JOIN s USING (lang)
+    JOIN f l ON l.lang = cut.lang AND l.words = cut.words[1:j] JOIN f r ON r.lang = cut.lang AND r.words = cut.words[j + 1:]),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, j) = 1),
+inside AS (SELECT lang, words[:k - 1] AS words, f FROM f WHERE k > 2 UNION ALL SELECT lang, words[2:], f FROM f WHERE k > 2),
+whole AS (SELECT * FROM weakest ANTI JOIN inside ON inside.lang = weakest.lang AND inside.words = weakest.words AND inside.f >= weakest.f),
+ranked AS (SELECT *, array_to_string(words, ' ') AS phrase FROM whole)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase, f AS a, l, r, n::BIGINT AS n,
+    score::BIGINT AS score FROM ranked QUALIFY rank <= {top}"""

@@ -1,0 +1,109 @@
+"""Whitening against numpy on exact integers: components, deviations, covariance, deficient and odd vectors."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from signalmill.llm import whitening
+from signalmill.llm.whitening import fit, identity_error, of_width, whiten, whitened_rows, whole_vectors
+
+SHAPE = "vec_id long, embedding array<float>"
+
+
+def vectors(seed, n, d, stretch=1.0):
+    rng = np.random.default_rng(seed)
+    turned = rng.normal(size=(d, d))
+    return (rng.normal(size=(n, d)) * stretch ** np.arange(d)) @ turned
+
+
+def plain(rows):
+    """x-vectors by id, and their exact sums."""
+    kept = {i: [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for i, v in rows}
+    return kept, [sum(c) for c in zip(*kept.values(), strict=True)]
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v]) for i, v in rows], SHAPE)
+
+
+@pytest.mark.parametrize(("n", "d", "stretch"), [(300, 12, 1.0), (500, 40, 0.8), (60, 5, 0.05)])
+def test_equals_an_eigen_decomposition(spark, n, d, stretch):
+    rows = list(enumerate((vectors(d, n, d, stretch) * 50).tolist()))
+    x, sums = plain(rows)
+    moved = {i: [n * c - s for c, s in zip(v, sums, strict=True)] for i, v in x.items()}
+    centred = np.array([[c / n for c in v] for v in moved.values()])
+    e, components = np.linalg.eigh(centred.T @ centred / n)
+    e, components = e[::-1], components[:, ::-1].T
+    found = whitened_rows(table(spark, rows).repartition(4)).collect()
+    seen = min(32, d)
+    assert len(found) == n * seen and {r["component"] for r in found} == set(range(1, seen + 1))
+    by = {(r["vec_id"], r["component"]): r for r in found}
+    for k in range(seen):
+        want = centred @ components[k] / math.sqrt(e[k])
+        have = np.array([by[i, k + 1]["whitened"] for i, _ in rows])
+        assert np.allclose(have, want, atol=1e-6) or np.allclose(have, -want, atol=1e-6)
+        assert by[0, k + 1]["explained"] == pytest.approx(e[k] / e.sum(), rel=1e-6)
+    assert all(r["deviation"] == sum(c * c for c in moved[r["vec_id"]]) and r["n"] == n for r in found)
+    white = np.array([[by[i, k + 1]["whitened"] for k in range(seen)] for i, _ in rows])
+    assert np.abs(white.T @ white / n - np.eye(seen)).max() < 1e-9
+    assert found[0]["identity_error"] < 1e-9
+
+
+def test_components_satisfy_their_equation(spark):
+    rows = list(enumerate((vectors(1, 400, 20, 0.5) * 5000).tolist()))
+    fitted = fit(whole_vectors(table(spark, rows)))
+    x, sums = plain(rows)
+    centred = np.array([[(400 * c - s) / 400 for c, s in zip(v, sums, strict=True)] for v in x.values()])
+    cov = centred.T @ centred / 400
+    for v, e in zip(fitted.components, fitted.eigenvalues, strict=True):
+        assert np.linalg.norm(cov @ v - e * v) < 1e-11 * fitted.eigenvalues[0]
+    assert np.abs(fitted.components @ fitted.components.T - np.eye(20)).max() < 1e-13
+
+
+def test_deficient_tables_have_fewer_components(spark):
+    base = vectors(4, 80, 3) * 40
+    wide = np.hstack([base, base[:, :2], np.ones((80, 2))])  # copied and constant dimensions
+    rows = list(enumerate(wide.tolist()))
+    found = whitened_rows(table(spark, rows)).collect()
+    assert {r["component"] for r in found} == {1, 2, 3} and found[0]["identity_error"] < 1e-6
+    assert sum(r["explained"] for r in found if r["vec_id"] == 0) == pytest.approx(1)
+    few = list(enumerate((vectors(5, 4, 9) * 40).tolist()))
+    assert {r["component"] for r in whitened_rows(table(spark, few)).collect()} == {1, 2, 3}
+
+
+def test_odd_vectors(spark):
+    good = [(i, v) for i, v in enumerate((vectors(6, 50, 4) * 10).tolist())]
+    bad = [(100, None), (101, [1, 2, None, 4]), (102, [1, 2, float("nan"), 4]), (103, [1, float("inf"), 3, 4]), (104, [1.0, 2.0]), (105, [])]
+    extra = [(None, good[0][1]), (7, good[7][1]), (7, good[7][1])]
+    odd = table(spark, [*good, *bad, *extra]).withColumns({c: F.lit("x") for c in ("x", "whitened", "at", "entries", "n", "width")})
+    found = whitened_rows(odd).collect()
+    assert len(found) == 4 * (len(good) + len(extra)) and {r["vec_id"] for r in found} == {None, *range(50)}
+    assert found[0]["n"] == 53 and found[0]["identity_error"] < 1e-9
+    for none in ([], [(1, None)], [(1, [])], [(1, [2.0, 3.0])], [(1, [2.0]), (2, [2.0])]):
+        assert whitened_rows(table(spark, none)).collect() == []
+    with pytest.raises(Exception, match="too large"):
+        whitened_rows(table(spark, [(1, [1e30])])).collect()
+    with pytest.raises(ValueError, match="bounded"):
+        fit(whole_vectors(table(spark, good)), max_width=3)
+
+
+def test_deviation_beyond_64_bits_is_exact(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-1, 1) * 2.0**50 for _ in range(3)]) for i in range(20)]
+    df = table(spark, rows)
+    x = {r["vec_id"]: r["x"] for r in whole_vectors(df).collect()}
+    sums = [sum(c) for c in zip(*x.values(), strict=True)]
+    big = whitening.Whitening(20, tuple(sums), np.eye(3), np.ones(3), 3.0)
+    assert {r["vec_id"]: int(r["deviation"]) for r in whiten(whole_vectors(df), big).collect()} == {
+        i: sum((20 * c - s) ** 2 for c, s in zip(v, sums, strict=True)) for i, v in x.items()
+    }
+
+
+def test_error_shows_a_wrong_fit(spark):
+    rows = whole_vectors(table(spark, list(enumerate((vectors(8, 90, 4) * 10).tolist()))))
+    fitted = fit(rows)
+    wrong = whitening.Whitening(fitted.n, fitted.sums, fitted.components, fitted.eigenvalues * np.array([1, 1, 1, 1.5]), fitted.trace)
+    assert identity_error(whiten(of_width(rows, 4), wrong), wrong) == pytest.approx(1 / 3, rel=1e-6)
