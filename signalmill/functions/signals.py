@@ -42,16 +42,12 @@ def signal_line(when: Column, signals: Sequence[Column]) -> Column:
 def signal_time(text: Column) -> Column:
     """Zone-less timestamp of a date/time text; NULL where it does not parse.
 
-    It is made from the text's parts, so the session's zone and its clock changes have no say.
+    Its parts are put in ISO order and cast once, so the session's zone and its clock changes have no say.
     """
-    day, month, year, hour, minute, second = (
-        F.substring(text, at, n).try_cast("int") for at, n in ((1, 2), (4, 2), (7, 4), (12, 2), (15, 2), (18, 2))
+    iso = F.concat(
+        F.substring(text, 7, 4), F.lit("-"), F.substring(text, 4, 2), F.lit("-"), F.substring(text, 1, 2), F.substr(text, F.lit(11))
     )
-    zero = F.lit(0)
-    made = F.try_make_timestamp_ntz(
-        year, month, day, F.coalesce(hour, zero), F.coalesce(minute, zero), F.coalesce(second, zero).cast("decimal(8,6)")
-    )
-    return F.when(text.rlike(_TIME_SHAPE), made)
+    return F.when(text.rlike(_TIME_SHAPE), iso.try_cast("timestamp_ntz"))
 
 
 def number(text: Column) -> Column:

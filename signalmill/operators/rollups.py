@@ -27,6 +27,11 @@ STYLES: dict[str, tuple[str, ...]] = {
 }
 _PREFIX = {"sum": "total_", "avg": "avg_"}
 
+# Values below are added up exactly, as decimals of this type. Larger ones, and those that are no numbers, have no place
+# in it and are added as doubles.
+_LARGE = 1e15
+_EXACT = "decimal(38,15)"
+
 
 def group_keys(grain: str, by_year: bool = False) -> list[str]:
     """Names of a rollup's key columns."""
@@ -58,12 +63,14 @@ def rollup(
     Months and quarters of different years fall together unless ``by_year``.
     Records without a valid date form the NULL group. Streams may only be
     ``ordered`` in complete mode.
+
+    Sums are exact to 15 decimal places and rounded once at the end, so they are the same bits however the records are
+    partitioned or batched. Values from 1e15 on are added as doubles, in no fixed order.
     """
     kinds = _choice(STYLES, style, "style")
-    makers = {"sum": F.sum, "avg": F.avg}
     count, value = _counted(positive_only)
     values = [
-        makers[kind](value(s.column)).alias(name)
+        _result(kind, *(a for _, a in _sums(value(s.column)))).alias(name)
         for kind, s, name in zip(kinds, SIGNALS, result_columns(style), strict=True)
     ]
     grouped = _keyed(signals, "signal_date", grain, by_year).agg(count.alias("count"), *values)
@@ -72,27 +79,28 @@ def rollup(
 
 
 def day_partials(signals: DataFrame, positive_only: bool = False) -> DataFrame:
-    """Mergeable day totals: record count, and sum and value count of each signal."""
+    """Mergeable day totals: record count, and exact sum, sum of large values and value count of each signal."""
     count, value = _counted(positive_only)
-    values = [
-        v
-        for s in SIGNALS
-        for v in (
-            F.sum(value(s.column)).alias(f"sum_{s.column}"),
-            F.count(value(s.column)).alias(f"n_{s.column}"),
-        )
-    ]
+    values = [a.alias(f"{name}_{s.column}") for s in SIGNALS for name, a in _sums(value(s.column))]
     grouped = signals.groupBy("signal_date").agg(count.alias("count"), *values)
     return grouped.where(F.col("count") > 0) if positive_only else grouped
 
 
-def coarser_partials(partials: DataFrame, grain: str) -> DataFrame:
-    """Partial totals per day, month or quarter, dated by the first day of the period."""
+def merge_days(partials: DataFrame) -> DataFrame:
+    """Day totals of several loads as one row per day, mergeable as before."""
+    return coarser_partials(partials, "day", merged=True)
+
+
+def coarser_partials(partials: DataFrame, grain: str, merged: bool = False) -> DataFrame:
+    """Partial totals per day, month or quarter, dated by the first day of the period.
+
+    Days are left as they are unless they are to be ``merged``.
+    """
     _choice(GRAINS, grain, "grain")
-    if grain == "day":
+    if grain == "day" and not merged:
         return partials
-    start = F.trunc("signal_date", grain).alias("signal_date")
-    totals = [F.sum(c).alias(c) for c in partials.columns if c != "signal_date"]
+    start = F.col("signal_date") if grain == "day" else F.trunc("signal_date", grain).alias("signal_date")
+    totals = [F.sum(c).cast(t).alias(c) for c, t in partials.dtypes if c != "signal_date"]
     return partials.groupBy(start).agg(*totals)
 
 
@@ -101,40 +109,78 @@ def merge_partials(
 ) -> DataFrame:
     """The rollup of all records whose day totals, from any number of loads, are given."""
     kinds = _choice(STYLES, style, "style")
-    values = []
-    for kind, s, name in zip(kinds, SIGNALS, result_columns(style), strict=True):
-        total, n = F.sum(f"sum_{s.column}"), F.sum(f"n_{s.column}")
-        values.append((total if kind == "sum" else F.try_divide(total, n)).alias(name))
+    values = [
+        _result(kind, *(F.sum(f"{part}_{s.column}") for part in ("sum", "large", "n"))).alias(name)
+        for kind, s, name in zip(kinds, SIGNALS, result_columns(style), strict=True)
+    ]
     keyed = _keyed(partials, "signal_date", grain, by_year)
     return keyed.agg(F.sum("count").alias("count"), *values)
 
 
+def _sums(value: Column) -> list[tuple[str, Column]]:
+    """Aggregates that can be merged in any order."""
+    small = F.abs(value) < _LARGE
+    exact = F.sum(F.when(small, value).cast(_EXACT))
+    return [("sum", exact), ("large", F.sum(F.when(~small, value.cast("double")))), ("n", F.count(value))]
+
+
+def _result(kind: str, exact: Column, large: Column, n: Column) -> Column:
+    """Sum or average as a double, rounded once."""
+    small = exact.cast("double")
+    total = F.when(large.isNull(), small).when(exact.isNull(), large).otherwise(small + large)
+    return total if kind == "sum" else F.try_divide(total, n)
+
+
+def point_partials(signals: DataFrame) -> DataFrame:
+    """Mergeable sets of timestamps: signal_date, grain, bucket, bits.
+
+    Whole minutes, whole seconds and other times are numbered apart, each in its own unit, and stand as bits in bitmaps
+    of 32,768 units. A day of minutes is in one or two bitmaps per task, however many records have them.
+    """
+    kind = signals.schema["signal_ts"].dataType.simpleString()
+    epoch = F.expr("timestamp_ntz'1970-01-01'")
+    micros = F.unix_micros("signal_ts") if kind == "timestamp" else F.timestamp_diff("MICROSECOND", epoch, F.col("signal_ts"))
+    grain = F.when(F.col("_micros") % 60_000_000 == 0, 60_000_000).when(F.col("_micros") % 1_000_000 == 0, 1_000_000).otherwise(1)
+    number = F.call_function("div", F.col("_micros"), F.col("grain"))
+    numbered = signals.select("signal_date", micros.alias("_micros")).withColumn("grain", grain).withColumn("_number", number)
+    keys = ["signal_date", "grain", F.bitmap_bucket_number("_number").alias("bucket")]
+    return numbered.groupBy(*keys).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_number")).alias("bits"))
+
+
+def merge_points(partials: DataFrame) -> DataFrame:
+    """Sets of timestamps of several loads as one row per set."""
+    return partials.groupBy("signal_date", "grain", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def count_points(partials: DataFrame) -> DataFrame:
+    """Distinct timestamps per day, in day order, from sets of any number of loads."""
+    sizes = merge_points(partials).groupBy("signal_date").agg(F.sum(F.bitmap_count("bits")).alias("datapoints"))
+    return sizes.orderBy("signal_date")
+
+
 def datapoints_per_day(signals: DataFrame) -> DataFrame:
-    """Distinct timestamps per day, in day order."""
-    return (
-        signals.groupBy("signal_date")
-        .agg(F.count_distinct("signal_ts").alias("datapoints"))
-        .orderBy("signal_date")
-    )
+    """Distinct timestamps per day, in day order; no timestamp is shuffled."""
+    sizes = point_partials(signals).groupBy("signal_date").agg(F.sum(F.bitmap_count("bits")).alias("datapoints"))
+    return sizes.orderBy("signal_date")
 
 
 def hourly_signal_avg(signals: DataFrame) -> DataFrame:
     """Average of every signal per hour of day, without hour 0, in hour order.
 
     Takes the map or the wide form. From a stored table the wide form reads less,
-    because a map column is read with all its entries.
+    because a map column is read with all its entries. Hour 0 is left out inside of the aggregates: a filter
+    on the hour would be pushed below the parsing of lines, which would then run twice.
     """
 
     def value(s):
         return F.col("signals")[s.label] if "signals" in signals.columns else F.col(s.column)
 
-    return (
-        signals.withColumn("hour", F.hour("signal_ts"))
-        .where(F.col("hour") != 0)
-        .groupBy("hour")
-        .agg(*[F.avg(value(s)).alias(s.label) for s in SIGNALS])
-        .orderBy("hour")
+    told = F.col("hour") != 0
+    hourly = signals.withColumn("hour", F.hour("signal_ts")).groupBy("hour")
+    averages = hourly.agg(
+        F.count(F.when(told, 1)).alias("_n"), *[F.avg(F.when(told, value(s))).alias(s.label) for s in SIGNALS]
     )
+    return averages.where(F.col("_n") > 0).drop("_n").orderBy("hour")
 
 
 def with_generation_indicator(

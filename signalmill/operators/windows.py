@@ -33,12 +33,26 @@ def collect_windows(
     in its task, so equal and missing numbers are spread like any others.
 
     The rows are evaluated once and land in the shared folder, since a processing time would put
-    them into other windows the next time. The window sizes are counted from the landed copy and kept as
-    a small table, whose known size lets Spark broadcast it instead of shuffling the rows for the join.
+    them into other windows the next time.
+    """
+    landed = _landed(window_rows(rows, arrays, number, deal), "window-rows")
+    return cut_windows(landed, arrays, number, max_array)
+
+
+def window_rows(
+    rows: DataFrame, arrays: dict[str, str], number: str, deal: Column | None = None, *further: Column
+) -> DataFrame:
+    """Window rows as they should land: window, array values, number, and the integer that deals them to parts."""
+    kept = list(dict.fromkeys([*arrays.values(), number]))
+    return rows.select("window", *kept, (_by_place() if deal is None else deal).alias("_deal"), *further)
+
+
+def cut_windows(landed: DataFrame, arrays: dict[str, str], number: str, max_array: int = MAX_ARRAY) -> DataFrame:
+    """Landed window rows as arrays per window and part; what :func:`collect_windows` does after landing.
+
+    The window sizes are counted first and kept as a small table, whose known size lets Spark broadcast it instead of
+    shuffling the rows for the join.
     """
-    kept = [c for c in dict.fromkeys([*arrays.values(), number])]
-    spread = _by_place() if deal is None else deal
-    landed = _landed(rows.select("window", *kept, spread.alias("_deal")), "window-rows")
     counted = landed.groupBy("window").agg(
         F.ceil(F.count("*") / F.lit(max_array)).cast("long").alias("parts")
     )
@@ -62,7 +76,8 @@ def collect_windows_live(
 
     Choose it for the busiest window: an array holds about a window's rows divided by ``parts``.
     The watermark comes before the aggregation; in append mode a window is
-    emitted, and its state dropped, once the watermark has passed its end.
+    emitted, and its state dropped, once the watermark has passed its end. Where no such number is known, or arrays
+    are too large for a state, ``streaming.sealed.SealedWindows`` collects windows as they close.
     """
     if parts < 1:
         raise ValueError(f"a window has at least one part, got {parts}")

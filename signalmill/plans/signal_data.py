@@ -64,7 +64,7 @@ def comparable(signals: DataFrame) -> DataFrame:
 
 
 def rounded(rollup: DataFrame, style: str, digits: int = 2) -> DataFrame:
-    """A rollup with rounded values, for comparing; the order of addition may still show near a half."""
+    """A rollup with rounded values, for comparing."""
     return rollup.withColumns({c: F.round(c, digits) for c in result_columns(style)})
 
 

@@ -189,6 +189,25 @@ def replay_then_stream(spark, folder):
     return batch.unionByName(stream)
 
 
+@CATALOGUE.query(
+    "replay_then_stream_json",
+    f"""SELECT CASE WHEN ts < TIMESTAMP '{_CUT}' THEN 'batch' ELSE 'stream' END AS seen_by,
+               event_id AS id, event_type AS name FROM events""",
+)
+def replay_then_stream_json(spark, folder):
+    """A topic of JSON events: its log is replayed, then what came after it is followed, on one checkpoint."""
+    topic = _topic(spark, "events", "json")
+    events = table(spark, folder, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("name"), "ts")
+    loads = {"batch": F.col("ts") < F.lit(_CUT), "stream": F.col("ts") >= F.lit(_CUT)}
+    checkpoint, seen = scratch_path(spark, "checkpoint"), {by: scratch_path(spark, by) for by in loads}
+    for by, chosen in loads.items():
+        append_to_topic(json_records(events.where(chosen), "id", "name"), topic)
+        rows = json_values(stream_topic(spark, topic), "id long, name string").select("data.*")
+        run_available(landing_writer(rows, seen[by]).option("checkpointLocation", checkpoint))
+    batch, stream = (spark.read.parquet(p).drop("batch_id").withColumn("seen_by", F.lit(by)) for by, p in seen.items())
+    return batch.unionByName(stream)
+
+
 def _ingested(spark, folder) -> str:
     """Path of the map-form signal table after a stream has filled it."""
     path = scratch_path(spark, "signal-table")

@@ -1,4 +1,7 @@
 import datetime as dt
+import random
+import re
+from decimal import Decimal
 
 import pytest
 from conftest import plan, rows
@@ -7,6 +10,7 @@ from pyspark.sql import functions as F
 from signalmill.functions.signals import map_form, parse_signals
 from signalmill.operators import rollups as R
 from signalmill.plans.signal_data import event_signals
+from signalmill.schemas import SIGNALS
 from signalmill.sources.files import table
 
 LINES = [
@@ -105,9 +109,61 @@ def test_rollup_aggregates_before_the_shuffle_and_reads_needed_columns(spark, fo
     assert "event_type" not in text
 
 
-def test_the_hour_filter_runs_before_the_aggregate(spark, folder):
+def test_hours_are_decoded_once_and_not_filtered_below_the_aggregate(spark, folder):
     text = plan(R.hourly_signal_avg(map_form(event_signals(spark, folder))))
-    assert text.index("partial_avg") < text.index("Filter")
+    assert not re.search(r"\bFilter \(", text[text.index("partial_avg") : text.index("Initial Plan")])
+
+
+def wide(spark, values):
+    cols = ", ".join(f"{s.column} double" for s in SIGNALS)
+    data = [(dt.date(2024, 1, 1 + i % 3), v, v, -v if v is not None else None, v) for i, v in enumerate(values)]
+    return spark.createDataFrame(data, f"signal_date date, {cols}")
+
+
+def test_sums_are_the_same_bits_for_any_partitioning(spark):
+    rng = random.Random(1)
+    values = [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-9, 12) for _ in range(6000)]
+    given = wide(spark, values)
+    found = set()
+    for style in ("sum", "mixed"):
+        for parts in (1, 5, 16):
+            shuffled = given.orderBy(F.rand(parts)).repartition(parts)
+            loads = R.day_partials(shuffled.where("LV_ActivePower < 0")).unionByName(R.day_partials(shuffled.where("LV_ActivePower >= 0")))
+            for rolled in (R.rollup(shuffled, "day", style), R.merge_partials(R.merge_days(loads), "day", style)):
+                found.add((style, tuple(rows(rolled))))
+    assert len(found) == 2
+    exact = {}
+    for i, v in enumerate(values):
+        exact[i % 3 + 1] = exact.get(i % 3 + 1, 0) + Decimal(repr(v)).quantize(Decimal("1e-15"))
+    got = {r["date"].day: r["total_LV_ActivePower"] for r in R.rollup(given, "day").collect()}
+    assert got == {d: float(x) for d, x in exact.items()}
+
+
+def test_large_and_odd_values_are_summed_as_doubles(spark):
+    nan, inf = float("nan"), float("inf")
+    got = {r["date"].day: r for r in R.rollup(wide(spark, [1e20, nan, None, 0.5, 1.0, None, inf, 2.0, None]), "day", "mixed").collect()}
+    assert got[1]["total_LV_ActivePower"] == inf and str(got[2]["total_LV_ActivePower"]) == "nan"
+    assert got[3]["total_LV_ActivePower"] is None and got[3]["avg_Wind_Speed"] is None and got[3]["count"] == 3
+    twice = {r["date"].day: r["total_LV_ActivePower"] for r in R.rollup(wide(spark, [1e20, 1.0, 1.0, 3e15, 1.0, 1.0]), "day").collect()}
+    assert twice == {1: 1e20 + 3e15, 2: 2.0, 3: 2.0}
+
+
+def test_datapoints_of_minutes_seconds_and_fractions(spark):
+    base = dt.datetime(2024, 1, 1, 23, 58)
+    steps = [0, 0, 60, 60, 61, 61, 61.5, 61.5, 61.25, 119.999999, 120, 121, 86_400, -3_000_000_000]
+    times = [base + dt.timedelta(seconds=s) for s in steps] + [None]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame([(t.date() if t else None, t) for t in times], f"signal_date date, signal_ts {kind}")
+        wanted = df.groupBy("signal_date").agg(F.count_distinct("signal_ts").alias("n"))
+        assert rows(R.datapoints_per_day(df)) == rows(wanted)
+        halves = R.point_partials(df.limit(7)).unionByName(R.point_partials(df))
+        assert rows(R.count_points(halves)) == rows(wanted)
+
+
+def test_no_timestamp_is_shuffled_for_datapoints(spark, folder):
+    text = plan(R.datapoints_per_day(event_signals(spark, folder)))
+    shuffles = [x for x in text.splitlines() if "hashpartitioning" in x]
+    assert shuffles and not any("signal_ts" in x for x in shuffles)
 
 
 def test_a_day_holding_most_rows_shuffles_one_row_per_task(spark):
