@@ -10,13 +10,13 @@ from signalmill.session import scratch_path
 from signalmill.sinks import files as sinks
 from signalmill.sources import files as sources
 from signalmill.sources.files import table
+from signalmill.sources.multiline import read_csv_blocks
 
 CATALOGUE = Catalogue()
 
 _CUSTOMER_DDL = (
     "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 )
-_DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source"]
 
 
 @CATALOGUE.query("scan_parquet", "SELECT * FROM events")
@@ -49,14 +49,13 @@ def scan_csv_inferred(spark, folder):
 
 @CATALOGUE.query(
     "scan_csv_multiline",
-    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents",
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
 )
 def scan_csv_multiline(spark, folder):
-    """Texts with line breaks; small files, because one task reads a whole multiline file."""
+    """Texts with line breaks, read back by as many tasks as the files have blocks."""
     path = scratch_path(spark, "document-csv")
-    documents = table(spark, folder, "documents").select(*_DOCUMENT_COLUMNS)
-    documents.write.option("maxRecordsPerFile", 10_000).option("escape", '"').csv(path, header=True)
-    return sources.read_csv(spark, path, multiline=True, escape='"')
+    table(spark, folder, "documents").write.option("escape", '"').csv(path, header=True)
+    return read_csv_blocks(spark, path, escape='"')
 
 
 @CATALOGUE.query(
@@ -101,18 +100,13 @@ def parquet_roundtrip(spark, folder):
 
 @CATALOGUE.query(
     "partitioned_roundtrip",
-    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority
-       FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
+    "SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'",
 )
 def partitioned_roundtrip(spark, folder):
     path = scratch_path(spark, "orders-by-status")
-    orders = table(spark, folder, "orders").drop("o_orderdate")
-    sinks.write_partitioned(orders, path, "o_orderstatus", "o_orderpriority")
+    sinks.write_partitioned(table(spark, folder, "orders"), path, "o_orderstatus", "o_orderpriority")
     sources.read_table(spark, path).createOrReplaceTempView("orders_by_status")
-    return spark.sql(
-        """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority
-           FROM orders_by_status WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"""
-    )
+    return spark.sql("SELECT * FROM orders_by_status WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
 
 
 @CATALOGUE.query("write_mode_ignore", "SELECT * FROM supplier")
