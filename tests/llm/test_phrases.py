@@ -77,6 +77,7 @@ def test_small_blocks_and_slices_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(phrases, "SLICE", 7)
     assert found(collocations(docs, 3)) == whole == brute(rows, 3)
     monkeypatch.setattr(phrases, "BLOCK_DISTINCT", 3)
+    monkeypatch.setattr(phrases, "SHARE_ENTRIES", 20)
     assert found(collocations(docs, 3)) == whole
 
 
