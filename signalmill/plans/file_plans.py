@@ -119,23 +119,36 @@ def write_mode_ignore(spark, folder):
     return sources.read_table(spark, path)
 
 
-@CATALOGUE.query("repartition_by_key", "SELECT * FROM orders")
+@CATALOGUE.query(
+    "repartition_by_key",
+    """SELECT o_orderstatus, count(*) AS rows, ceil(count(*) / ((SELECT count(*) FROM orders) / 8.0)) > 1 AS divided,
+              TRUE AS few, TRUE AS even, 8 AS used FROM orders GROUP BY 1""",
+)
 def repartition_by_key(spark, folder):
-    path = scratch_path(spark, "orders-by-key")
+    """Orders dealt to 8 partitions by the sizes of their keys: which keys are divided, and whether all partitions are about a fair size."""
     orders = table(spark, folder, "orders")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sinks.write_table(
-        partitioning.repartition_by_key(orders, partitions, "o_orderstatus"), path
-    )
-    return sources.read_table(spark, path)
+    path = scratch_path(spark, "orders-by-key")
+    placed = partitioning.place_by_size(orders, 8, "o_orderstatus").withColumn("partition", F.spark_partition_id())
+    sinks.write_table(placed, path)
+    found = sources.read_table(spark, path).groupBy("o_orderstatus", "partition").agg(F.count("*").alias("rows"))
+    loads = found.groupBy("partition").agg(F.sum("rows").alias("rows"))
+    total, used, largest = loads.agg(F.sum("rows"), F.count("*"), F.max("rows")).first()  # eight rows
+    of_key = found.groupBy("o_orderstatus").agg(F.sum("rows").alias("rows"), F.count("*").alias("parts"))
+    fair = F.ceil(F.col("rows") / (total / 8))
+    return of_key.select(
+        "o_orderstatus", "rows", (F.col("parts") > 1).alias("divided"), (F.col("parts") <= fair + 2).alias("few"),
+        F.lit(largest <= 1.25 * total / 8).alias("even"), F.lit(used).cast("int").alias("used"),
+    )
 
 
-@CATALOGUE.query("coalesce_files", "SELECT * FROM orders")
+@CATALOGUE.query("coalesce_files", "SELECT *, TRUE AS merged FROM orders")
 def coalesce_files(spark, folder):
+    """Many small partitions become files of the session's advisory size: fewer than there were partitions."""
     path = scratch_path(spark, "orders-coalesced")
-    orders = table(spark, folder, "orders")
-    sinks.write_table(partitioning.coalesce_to_size(orders, 2_000_000), path)
-    return sources.read_table(spark, path)
+    scattered = table(spark, folder, "orders").repartition(64)
+    sinks.write_table(partitioning.coalesce_to_size(scattered), path)
+    written = sources.read_table(spark, path)
+    return written.withColumn("merged", F.lit(len(written.inputFiles()) < 64))
 
 
 @CATALOGUE.query(

@@ -3,6 +3,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from signalmill.operators import joins as J
+from signalmill.operators.sketches import heavy_keys
 from signalmill.sources.files import table
 
 
@@ -66,7 +67,11 @@ def test_estimated_size_runs_no_job(spark, folder):
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
 
 
-@pytest.mark.parametrize("join", [J.inner_join, J.full_outer_join])
+def sketched(*args):
+    return J.full_outer_join(*args, sketch_from=0, share=0.2)
+
+
+@pytest.mark.parametrize("join", [J.inner_join, J.full_outer_join, sketched])
 def test_text_keys_come_out_as_they_were(spark, join):
     texts = spark.createDataFrame([("010", 1), ("n/a", 2), (None, 3), ("10", 4)], "k string, a int")
     numbers = spark.createDataFrame([(10, 5), (11, 6)], "n int, b int")
@@ -96,9 +101,48 @@ def test_a_hot_key_is_split_and_nothing_is_lost(spark, set_conf, hot_side, kind)
     left = side(hot_side in ("left", "both"), "a", 3000 if hot_side != "both" else 1800, 0)
     right = side(hot_side in ("right", "both"), "b", 3000 if hot_side != "both" else 1800, 300)
     right = right.union(spark.createDataFrame([(-1, 7)], "b long, k_b long")) if hot_side == "left" else right
-    join = J.inner_join if kind == "inner" else J.full_outer_join
-    got = join(left, right, "k_a", "k_b")
-    assert "skew=true" in plan(got)
+    if kind == "inner":
+        got = J.inner_join(left, right, "k_a", "k_b")
+        assert "skew=true" in plan(got)
+    else:
+        got = J.full_outer_join(left, right, "k_a", "k_b", sketch_from=0, share=0.05)
+        final = plan(got).split("Initial Plan")[0]
+        assert final.count("SortMergeJoin") == 1 and final.count("ShuffleQueryStage") == 2
     own = left.join(right, F.col("k_a") == F.col("k_b"), kind)
     assert got.count() == own.count()
     assert got.exceptAll(own.select(got.columns)).count() == 0
+
+
+def test_hot_keys_of_a_full_outer_join_are_spread_over_tasks(spark, set_conf):
+    """Keys hot on either side, on both, on one only without a partner, and rows without a key."""
+    set_conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+
+    def side(name, seed):
+        kind = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(10))
+        key = F.when(kind < 3, seed).when(kind == 3, 7).when(kind == 4, None).otherwise(F.col("id") + seed * 100)
+        return spark.range(0, 2000, 1, 6).select(F.col("id").alias(name), key.cast("string").alias(f"k_{name}"))
+
+    left = side("a", 1).union(spark.createDataFrame([(9000 + i, "2") for i in range(3)], "a long, k_a string"))
+    right = side("b", 2)
+    got = J.full_outer_join(left, right, "k_a", "k_b", sketch_from=0, share=0.05)
+    own = left.join(right, F.col("k_a") == F.col("k_b"), "full")
+    assert got.columns == own.columns
+    hashed = [F.count("*"), F.sum(F.xxhash64(*own.columns).cast("decimal(38,0)"))]
+    assert got.agg(*hashed).first() == own.agg(*hashed).first()
+    only_hot = got.where("k_a = '1' AND k_b IS NULL").groupBy(F.spark_partition_id()).count()
+    assert only_hot.count() > 1
+
+
+def test_heavy_keys_are_found_and_not_overcounted(spark):
+    n = 40_000
+    key = F.when(F.col("id") % 10 < 3, "hot").when(F.col("id") % 50 == 7, "warm").when(F.col("id") % 20 == 4, None).otherwise(F.col("id").cast("string"))
+    df = spark.range(0, n, 1, 7).select(key.alias("k"))
+    counts = {r["k"]: r["count"] / n for r in df.groupBy("k").count().collect()}
+    for share in (0.25, 0.02):
+        found = heavy_keys(df, "k", share)
+        assert {k for k, s in counts.items() if k and s >= share} <= set(found) and len(found) <= 4 / share
+        assert all(share / 4 <= s <= counts[k] for k, s in found.items())
+    assert set(heavy_keys(df, "k", 0.02)) == {"hot", "warm"}
+    assert heavy_keys(df.limit(0), "k") == {} and heavy_keys(df.where("k IS NULL"), "k") == {}
+    with pytest.raises(ValueError):
+        heavy_keys(df, "k", 0)

@@ -116,7 +116,7 @@ def test_filters_and_columns_reach_the_scan(spark, folder):
     assert "p_retailprice" not in text
 
 
-@pytest.mark.parametrize("call", [P.round_robin, P.coalesce, lambda df, n: P.repartition_by_key(df, n, "id")])
+@pytest.mark.parametrize("call", [P.round_robin, P.coalesce, lambda df, n: P.repartition_by_key(df, n, "id"), lambda df, n: P.place_by_size(df, n, "id")])
 def test_no_partition_is_refused(spark, call):
     with pytest.raises(ValueError, match="at least one"):
         call(spark.range(1), 0)
@@ -126,7 +126,31 @@ def test_partition_counts(spark):
     df = spark.range(0, 1000, 1, 8)
     assert P.partition_sizes(P.coalesce(df, 2)).count() == 2
     assert P.partition_sizes(P.round_robin(df, 5)).count() == 5
-    assert P.partition_sizes(P.coalesce_to_size(df, 300)).count() == 4
+    assert P.partition_sizes(P.coalesce_to_size(df, 2000)).count() == 4  # by the plan's estimate of 8,000 bytes
+
+
+def test_small_partitions_become_few_files_without_a_count(spark, where):
+    df = spark.range(0, 1000, 1, 40)
+    P.coalesce_to_size(df).write.parquet(where("out"))
+    found = spark.read.parquet(where("out"))
+    assert found.count() == 1000 and len(found.inputFiles()) < 10
+
+
+def test_placement_by_size(spark):
+    """One key with 40 % of the rows, a few of some size, and many small ones."""
+    kind = F.pmod(F.xxhash64("id"), F.lit(100))
+    key = F.when(kind < 40, "hot").when(kind < 70, F.concat(F.lit("k"), (kind % 4).cast("string"))).otherwise(F.concat(F.lit("s"), (F.col("id") % 500).cast("string")))
+    df = spark.range(0, 20_000, 1, 6).select("id", F.when(kind == 99, None).otherwise(key).alias("k"))
+    placed = P.place_by_size(df, 10, "k").withColumn("p", F.spark_partition_id())
+    found = placed.groupBy("k", "p").count().collect()
+    loads, spread = {}, {}
+    for r in found:
+        loads[r["p"]] = loads.get(r["p"], 0) + r["count"]
+        spread[r["k"]] = spread.get(r["k"], 0) + 1
+    assert sorted(loads) == list(range(10)) and sum(loads.values()) == 20_000
+    assert max(loads.values()) < 1.25 * 2000
+    assert spread.pop("hot") in (4, 5, 6) and set(spread.values()) == {1}
+    assert P.place_by_size(df.limit(0), 3, "k").count() == 0
 
 
 def test_repartition_by_key_keeps_a_small_key_together_and_splits_a_hot_one(spark, set_conf, where):
