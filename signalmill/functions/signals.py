@@ -88,6 +88,47 @@ def parse_signals(lines: DataFrame, value: str = "value") -> DataFrame:
     return typed_signals(split_signal_lines(lines, value))
 
 
+#: Why a field is rejected, in the order of its bits.
+REASONS = ("absent", "not convertible")
+
+
+def parse_with_ledger(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The wide form with a ledger of rejected fields: ``reject_bits``, and the ``line`` itself where a bit is set.
+
+    Each field has one bit per reason of :data:`REASONS`, the first field the lowest ones. The bits come from the same decode as
+    the values. A line that is null lacks all of its fields.
+    """
+    parts = F.split(F.col(value).cast("string"), ",")
+    labels = [DATE_TIME, *[s.label for s in SIGNALS]]
+    texts = [F.get(parts, F.lit(i)) for i in range(len(labels))]
+    fields = lines.select(F.col(value).cast("string").alias("line"), *[t.alias(label) for t, label in zip(texts, labels, strict=True)])
+    decoded = [signal_time(_field(DATE_TIME)), *[number(_field(s.label)) for s in SIGNALS]]
+    columns = ["signal_ts", *[s.column for s in SIGNALS]]
+    bits = [
+        F.when(_field(label).isNull(), 1 << (2 * i))
+        .when((_field(label) != "null") & value_of.isNull(), 2 << (2 * i))
+        .otherwise(0)
+        for i, (label, value_of) in enumerate(zip(labels, decoded, strict=True))
+    ]
+    typed = fields.select("line", *[d.alias(c) for d, c in zip(decoded, columns, strict=True)], reduce(Column.bitwiseOR, bits).alias("reject_bits"))
+    return typed.select(
+        F.col("signal_ts").cast("date").alias("signal_date"), *columns,
+        F.bit_count("reject_bits").alias("bad_fields"), "reject_bits", F.when(F.col("reject_bits") != 0, F.col("line")).alias("line"),
+    )
+
+
+def rejected_lines(ledger: DataFrame) -> DataFrame:
+    """Lines with a rejected field: line, reject_bits, and reasons as text, such as ``Date/Time absent``."""
+    labels = [DATE_TIME, *[s.label for s in SIGNALS]]
+    said = [
+        F.when(F.col("reject_bits").bitwiseAND(1 << (2 * i + j)) != 0, f"{label} {reason}")
+        for i, label in enumerate(labels)
+        for j, reason in enumerate(REASONS)
+    ]
+    rejected = ledger.where(F.col("reject_bits") != 0)
+    return rejected.select("line", "reject_bits", F.concat_ws("; ", *said).alias("reasons"))
+
+
 def typed_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """Signal lines to the typed form that keeps the date/time as text."""
     fields = split_signal_lines(lines, value)

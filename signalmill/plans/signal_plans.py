@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from signalmill.functions.signals import map_form
@@ -39,14 +41,7 @@ _HOURLY = f"""
   FROM ({EVENT_SIGNALS}) s GROUP BY 1 HAVING hour <> 0"""
 
 _MAPPING = "(VALUES {}) m(sig_name, sig_mapping_name)".format(
-    ", ".join(
-        [
-            "('LV ActivePower (kW)', 'active_power_average')",
-            "('Wind Speed (m/s)', 'wind_speed_average')",
-            "('Theoretical_Power_Curve (KWh)', 'theo_power_curve_average')",
-            "('Wind Direction (°)', 'wind_direction_average')",
-        ]
-    )
+    ", ".join(f"('{m['sig_name']}', '{m['sig_mapping_name']}')" for m in json.loads(SIGNAL_MAPPING_JSON))
 )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from signalmill.functions.signals import csv_line, parse_with_ledger
 from signalmill.operators.rollups import group_keys, rollup
 from signalmill.operators.windows import collect_windows, newest_first, sliding_rows
 from signalmill.plans.catalogue import Catalogue
@@ -12,14 +13,17 @@ from signalmill.plans.signal_data import (
     ORDER_SIGNALS,
     comparable,
     event_lines,
+    event_values,
     order_lines,
     rollup_sql,
     rounded,
 )
+from signalmill.schemas import WRITE_TIME_PATTERN
 from signalmill.session import scratch_path
 from signalmill.sinks.topics import append_to_topic, json_records
 from signalmill.sources.files import table, table_stream
-from signalmill.sources.topics import Topic, json_values, signals_of, stream_topic
+from signalmill.sources.topics import Topic, json_values, signals_of, stream_topic, text_values
+from signalmill.streaming.batches import read_batches
 from signalmill.streaming.runner import run_available
 from signalmill.streaming.sealed import DayTotals, SealedWindows
 from signalmill.streaming.tables import (
@@ -320,6 +324,44 @@ def fanout_rollups(spark, folder):
     return result
 
 
+# Event lines of which some lack fields, have a word for a number, or no time.
+_DIRTY = {"kind": "event_id % 5 = 0", "short": "event_id % 7 = 0", "undated": "event_id % 11 = 0"}
+
+
+def _dirty_lines(events):
+    when, values = F.date_format("ts", WRITE_TIME_PATTERN), event_values()
+    first = F.when(F.expr(_DIRTY["kind"]), F.col("event_type")).otherwise(values[0].cast("string"))
+    when = F.when(F.expr(_DIRTY["undated"]), F.concat(F.lit("at "), F.col("event_type"))).otherwise(when)
+    whole = csv_line([when, first, *values[1:]])
+    return events.select(F.when(F.expr(_DIRTY["short"]), csv_line([when, first])).otherwise(whole).alias("value"))
+
+
+@CATALOGUE.query(
+    "rejected_lines",
+    f"""
+  WITH e AS (SELECT *, CASE WHEN {_DIRTY["undated"]} THEN 'at ' || event_type ELSE strftime(ts, '%d %m %Y %H:%M') END AS d,
+                    CASE WHEN {_DIRTY["kind"]} THEN event_type ELSE CAST(value AS VARCHAR) END AS p FROM events),
+  l AS (SELECT *, CASE WHEN {_DIRTY["short"]} THEN d || ',' || p ELSE d || ',' || p || ',' || CAST(user_id AS VARCHAR) || ','
+                       || CAST(event_id % 3600 AS VARCHAR) || ',' || json_extract_string(props, '$.k') END AS line FROM e)
+  SELECT line, (CASE WHEN {_DIRTY["undated"]} THEN 2 ELSE 0 END + CASE WHEN {_DIRTY["kind"]} THEN 8 ELSE 0 END
+          + CASE WHEN {_DIRTY["short"]} THEN 16 + 64 + 256 ELSE 0 END)::INTEGER AS reject_bits,
+         concat_ws('; ', CASE WHEN {_DIRTY["undated"]} THEN 'Date/Time not convertible' END,
+           CASE WHEN {_DIRTY["kind"]} THEN 'LV ActivePower (kW) not convertible' END,
+           CASE WHEN {_DIRTY["short"]} THEN 'Wind Speed (m/s) absent; Theoretical_Power_Curve (KWh) absent; Wind Direction (°) absent' END)
+           AS reasons
+  FROM l WHERE {" OR ".join(_DIRTY.values())}""",
+)
+def rejected_lines(spark, folder):
+    """The fan-out's second output: lines with rejected fields and why, from the decode that fills the signal table."""
+    root, checkpoint = scratch_path(spark, "fan-out"), scratch_path(spark, "checkpoint")
+    topic = Topic("signals", "csv", path=scratch_path(spark, "topic-signals"))
+    for load in _cut(table(spark, folder, "events"), "ts", _EVENT_CUT, _dirty_lines):
+        append_to_topic(load, topic)
+        ledger = parse_with_ledger(text_values(stream_topic(spark, topic)))
+        run_available(ledger.writeStream.foreachBatch(fan_out(root)).option("checkpointLocation", checkpoint))
+    return read_batches(spark, f"{root}/rejected").drop("batch_id")
+
+
 def _fanned(spark, loads) -> str:
     root, checkpoint = scratch_path(spark, "fan-out"), scratch_path(spark, "checkpoint")
     for stream in signals_by_load(spark, loads):

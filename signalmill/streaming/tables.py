@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from signalmill.functions.signals import rejected_lines
 from signalmill.operators.rollups import (
     coarser_partials,
     count_points,
@@ -127,6 +128,9 @@ def fan_out(
     target takes the batch under its own ``batch_id``, which makes repeats harmless and leaves no
     state between batches; :func:`fanned_rollup` and :func:`fanned_datapoints` add up the batches.
 
+    Signals with a ledger (:func:`~signalmill.functions.signals.parse_with_ledger`) also feed ``root/rejected``
+    with the lines that have a rejected field, why, and the line itself; the signal table keeps the ledger as well.
+
     Every ``fold_every`` batches the totals of finished ones are added up into fewer folders.
     """
 
@@ -135,6 +139,8 @@ def fan_out(
         landed = batch_path(f"{root}/signals", batch_id)
         batch.write.mode("overwrite").parquet(landed)
         signals = spark.read.schema(batch.schema).parquet(landed)
+        if "reject_bits" in batch.columns:
+            rejected_lines(signals).write.mode("overwrite").parquet(batch_path(f"{root}/rejected", batch_id))
         point_partials(signals).write.mode("overwrite").parquet(batch_path(f"{root}/points", batch_id))
         days = day_partials(signals).persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -135,3 +135,18 @@ def test_times_do_not_depend_on_the_sessions_zone(spark, folder, set_conf, zone)
 
 
 _SEEN: dict = {}
+
+
+def test_ledger_tells_fields_and_reasons_apart(spark):
+    lines = ["01 01 2024 10:00,1,2,3,4", "30 02 2024,x,null,,1", "null,1", "", None, "01 01 2024,1,2,3,4,5", "a,b,c,d,e"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    ledger = S.parse_with_ledger(df)
+    plain = S.parse_signals(df)
+    assert rows(ledger.select(plain.columns)) == rows(plain)
+    bits = {r["line"]: r["reject_bits"] for r in ledger.collect() if r["reject_bits"]}
+    assert bits == {"30 02 2024,x,null,,1": 0b0010001010, "null,1": 0b0101010000, "": 0b0101010110, None: 0b0101010101, "a,b,c,d,e": 0b1010101010}
+    reasons = {r["line"]: r["reasons"] for r in S.rejected_lines(ledger).collect()}
+    assert reasons["30 02 2024,x,null,,1"].split("; ") == [
+        "Date/Time not convertible", "LV ActivePower (kW) not convertible", "Theoretical_Power_Curve (KWh) not convertible",
+    ]
+    assert len(reasons) == 5
