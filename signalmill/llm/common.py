@@ -17,14 +17,14 @@ BLANKS = r"[\x20\x09-\x0D]+"
 TEXTS_PER_BATCH = 256
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` as a table in the shared folder, so that it is computed once.
 
     The table also cuts the lineage: a lost executor costs its running tasks
     only, never the work before this point.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -144,7 +144,7 @@ def occurrences(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
             yield block.row(_block_number(sequence))
 
     shape = "block long, packed binary, lang array<string>, word array<string>, n array<int>"
-    return staged(rows.mapInArrow(gather, shape), "occurrences")
+    return staged(rows.mapInArrow(gather, shape), "occurrences", "zstd")
 
 
 def _shares(spark: SparkSession, entries: int) -> int:
@@ -257,7 +257,7 @@ def _frequent(dealt: DataFrame, least: int) -> DataFrame:
         ]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return staged(dealt.groupBy("share").applyInArrow(count, shape), "frequent")
+    return staged(dealt.groupBy("share").applyInArrow(count, shape), "frequent", "zstd")
 
 
 def _hits(frequent: DataFrame, level: int) -> DataFrame:
@@ -324,7 +324,7 @@ def _joined(relation: DataFrame, hits: DataFrame, levels: list[int]) -> DataFram
                 rows = [[block["block"][0].as_py()], [pack(np.diff(at, prepend=0), group)], [left], [right], [n]]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names=names)
 
-    return staged(_met(relation, hits, join, shape), "occurrences")
+    return staged(_met(relation, hits, join, shape), "occurrences", "zstd")
 
 
 def _dealt_later(relation: DataFrame, shares: int) -> DataFrame:
