@@ -35,7 +35,8 @@ class Model:
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    return np.array([chr(i).isalpha() for i in range(0x10000)])
+    """Whether each code point of all planes is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
 def features(text: str) -> np.ndarray | None:
@@ -44,7 +45,7 @@ def features(text: str) -> np.ndarray | None:
     Letters are lower-cased, and each run of other characters is one blank.
     """
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    letter = _letters()[np.minimum(codes, 0xFFFF)] | (codes > 0xFFFF)
+    letter = _letters()[codes]
     if not letter.any():
         return None
     codes = np.where(letter, codes, 32)

@@ -13,9 +13,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,11 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# The same matches as EMAIL and IP, without a new start inside a run that has failed.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
+_IP_RUNS = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}")
+
 _SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|api_?key|key)\s*[=:]\s*[\"']([^\s\"']{16,})[\"']")
 _TRIGGER = re.compile(r"[0-9@]")
 _ISLAND = re.compile(r"\S+(?:(?<=[0-9)]) (?=[0-9(])\S+)*")
@@ -58,17 +65,38 @@ def _digits(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def _octet(digits: str) -> bool:
+    """Whether a number of any length is at most 255."""
+    value = digits.lstrip("0")
+    return len(value) <= 3 and int(value or 0) <= 255
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of ``EMAIL``, found from each @ outwards, so that a long run of letters is walked once."""
+    end, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > end and text[start - 1] in _LOCAL:
+            start -= 1
+        if start < at and (found := _DOMAIN.match(text, at + 1)):
+            end = found.end()
+            yield start, end
+        at = text.find("@", max(at + 1, end))
+
+
 def base_spans(text: str) -> list[Span]:
-    """Spans of the patterns by kind, then start; matches that fail their test are dropped."""
-    out: list[Span] = []
-    if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+    """Spans of the patterns by kind, then start; matches that fail their test are dropped.
+
+    The time grows with the text's length, whatever runs it holds.
+    """
+    out: list[Span] = [("email", *span) for span in _emails(text)]
     if not re.search("[0-9]", text):
         return out
     if "." in text:
-        out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+        out += [("ip", *m.span()) for m in _IP_RUNS.finditer(text) if all(map(_octet, m.group().split(".")))]
     for m in CARD.finditer(text):
-        if 13 <= len(d := _digits(m.group())) <= 19 and luhn(d):
+        found = m.group()
+        if 13 <= len(found) - found.count(" ") - found.count("-") <= 19 and luhn(_digits(found)):
             out.append(("card", *m.span()))
     if "+" in text:
         out += [("phone", *m.span()) for m in PHONE.finditer(text) if 9 <= len(_digits(m.group())) <= 15]
@@ -115,7 +143,7 @@ def features(text: str, a: int, b: int, word: str) -> tuple[str, ...]:
         found.append("parentheses")
     if 13 <= len(digits) <= 19 and not letters:
         found.append("checksum" if luhn(digits) else "no checksum")
-    if len(parts) == 4 and all(p.isascii() and p.isdigit() and int(p) <= 255 for p in parts):
+    if len(parts) == 4 and all(p.isascii() and p.isdigit() and _octet(p) for p in parts):
         found.append("octets")
     if "@" in s and len(parts[-1]) > 1 and parts[-1].isalpha() and s[0].isalnum():
         found.append("domain")
@@ -329,10 +357,12 @@ _DRAWN = ["kind", "rank", "piece", "start", "stop", "labels"]
 def all_spans(text: str, base: list[Span], field: Field) -> list[Span]:
     """Base spans and those of the field that touch none of them, by kind as listed, then start."""
     taken = sorted((a, b) for _, a, b in base)
+    starts, furthest = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     added = []
     for a, b in islands(text):
         for span in field.best(text, a, b):
-            if not any(s < span[2] and span[1] < e for s, e in taken):
+            before = bisect_left(starts, span[2])
+            if not before or furthest[before - 1] <= span[1]:
                 added.append(span)
     return sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
