@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from signalmill.llm.common import text_or_empty
 from signalmill.session import scratch_path
 
-#: A block is closed once its texts have this many characters.
-BLOCK_CHARS = 24_000_000
+#: A block is closed once its texts have this many characters, or its form says that it is full.
+BLOCK_CHARS = 12_000_000
+#: Forms that number their words are full with so many distinct ones, however short the texts.
+BLOCK_WORDS = 400_000
 
 _CODEC = "zstd"
 
@@ -30,15 +32,16 @@ _CODEC = "zstd"
 class Block(Protocol):
     def add(self, text: str) -> None: ...
 
+    def full(self) -> bool: ...
+
     def packed(self) -> tuple[bytes, list[str]]:
         """What the texts become, and the distinct terms by number."""
 
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Integer arrays as compressed bytes."""
-    arrays = [np.ascontiguousarray(a, dtype="<i4") for a in arrays]
-    plain = np.array([len(arrays), *map(len, arrays)], dtype="<i4").tobytes() + b"".join(a.tobytes() for a in arrays)
-    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec=_CODEC, asbytes=True)
+    plain = np.concatenate([[len(arrays), *map(len, arrays)], *arrays], dtype="<i4", casting="unsafe")
+    return plain.nbytes.to_bytes(8, "little") + pa.compress(plain, codec=_CODEC, asbytes=True)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
@@ -67,9 +70,10 @@ def blocks_of(docs: DataFrame, make: Callable[[], Block], id_col: str, text_col:
                 block.add(text)
                 ids.append(batch_ids[i])
                 chars += len(text)
-                if chars >= BLOCK_CHARS:
+                if chars >= BLOCK_CHARS or block.full():
                     yield _row(number, ids, block, kind)
                     number, block, ids, chars = number + 1, make(), [], 0
+                    pa.default_memory_pool().release_unused()
         if ids:
             yield _row(number, ids, block, kind)
 

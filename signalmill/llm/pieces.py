@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalmill.llm.blocks import blocks_of, finish, pack, terms_of, unpack
+from signalmill.llm.blocks import BLOCK_WORDS, blocks_of, finish, pack, terms_of, unpack
 from signalmill.llm.common import bound
 
 SPACE = "▁"
@@ -131,38 +132,56 @@ class _Streams:
             return ["\n", *(units_of(word[1:], self.pairs) if len(word) > 1 else [])]
         return units_of(SPACE + word, self.pairs)
 
+    def full(self) -> bool:
+        return len(self.words) >= BLOCK_WORDS
+
     def packed(self) -> tuple[bytes, list[str]]:
+        # words give way as their units come, and texts as the stream is filled, so that no two forms of a block are held at once
+        words = list(self.words)[::-1]
+        self.words = _Numbers()
         terms: dict[str, int] = {}
-        lengths = np.empty(len(self.words), dtype=np.int32)
-        flat = []
-        for i, word in enumerate(self.words):
-            cut = self._units(word)
+        lengths, flat = np.empty(len(words), dtype=np.int32), array("i")
+        for i in range(len(words)):
+            cut = self._units(words.pop())
             lengths[i] = len(cut)
-            flat += [terms.setdefault(u, len(terms)) for u in cut]
-        self.words = _Numbers()
-        flat = np.array(flat, dtype=np.int32)
-        begins = np.cumsum(lengths) - lengths
+            flat.extend([terms.setdefault(u, len(terms)) for u in cut])
+        flat = np.frombuffer(flat, dtype=np.int32) if flat else np.empty(0, np.int32)
+        begins = np.cumsum(lengths, dtype=np.int32) - lengths
         per_doc = np.array([lengths[t].sum() for t in self.texts], dtype=np.int64)
-        parts = [flat[_spread(begins[t], lengths[t])] for t in self.texts]
-        stream = np.concatenate([np.empty(0, np.int32), *parts])
-        used = np.bincount(stream, minlength=len(terms))
-        del parts, flat, self.texts
-        by_use = np.argsort(-used, kind="stable")
+        stream, used = np.empty(int(per_doc.sum()), dtype=np.int32), np.zeros(len(terms), dtype=np.int64)
+        self.texts.reverse()
+        for end, size in zip(np.cumsum(per_doc).tolist(), per_doc.tolist(), strict=True):
+            text = self.texts.pop()
+            stream[end - size : end] = flat[_spread(begins[text], lengths[text])]
+        del flat, begins, lengths
+        for part in _chunks(stream):
+            used += np.bincount(part, minlength=len(terms))
+        by_use = np.argsort(-used, kind="stable").astype(np.int32)
         rank = np.empty(len(terms), dtype=np.int32)
-        rank[by_use] = np.arange(len(terms))
+        rank[by_use] = np.arange(len(terms), dtype=np.int32)
         # neighbours with a common beginning compress well; long units come last and are encoded here
-        order = sorted(terms, key=lambda u: (len(u) > FOLDED, u))
-        short = order[: sum(len(u) <= FOLDED for u in order)]
+        short = sorted([u for u in terms if len(u) <= FOLDED])
+        long = sorted([u for u in terms if len(u) > FOLDED])
         place = np.empty(len(terms), dtype=np.int32)
-        place[[terms[t] for t in order]] = np.arange(len(order))
-        encoded = [self.by_hand(u, self.pieces) for u in order[len(short) :]]
-        planes = rank[stream].astype("<i4").view(np.uint8).reshape(-1, 4).T  # low bytes first, then the next
+        for units, first in ((short, 0), (long, len(short))):
+            place[np.fromiter(map(terms.__getitem__, units), np.int32, len(units))] = np.arange(first, first + len(units))
+        del terms
+        encoded = [self.by_hand(u, self.pieces) for u in long]
+        for part in _chunks(stream):
+            part[:] = rank[part]
+        planes = np.empty(4 * stream.size, dtype=np.uint8)
+        for k in range(4):  # low bytes first, then the next
+            planes[k * stream.size : (k + 1) * stream.size] = stream.astype("<i4", copy=False).view(np.uint8)[k::4]
+        del stream
         marks = np.frombuffer(b"".join(self.hashes), dtype="<i4")
-        packed = pack(
-            per_doc, place[by_use], marks, [len(x) for x in encoded], [i for x in encoded for i in x],
-            np.resize(planes, -(-planes.size // 4) * 4).view("<i4"),
-        )
-        return packed, short
+        return pack(
+            per_doc, place[by_use], marks, [len(x) for x in encoded], [i for x in encoded for i in x], planes.view("<i4")
+        ), short
+
+
+def _chunks(numbers: np.ndarray) -> list[np.ndarray]:
+    """Views of an array, small enough that a copy of one does not count."""
+    return [numbers[at : at + 500_000] for at in range(0, len(numbers), 500_000)]
 
 
 def _spread(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -8,6 +8,7 @@ multiplied by these frequencies. No token ids are ever made for a text.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from signalmill.llm.blocks import blocks_of, distinct_terms, finish, pack, terms_of, unpack
+from signalmill.llm.blocks import BLOCK_WORDS, blocks_of, distinct_terms, finish, pack, terms_of, unpack
 from signalmill.llm.common import WORD
 
 #: Marks the term of a special token's string inside a text; pre-tokens never hold this character.
@@ -60,25 +61,40 @@ class _Frequencies:
         normal = self.tokenizer.normalizer.normalize_str(part)
         return [token for token, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
+    def full(self) -> bool:
+        return len(self.words) >= BLOCK_WORDS
+
     def packed(self) -> tuple[bytes, list[str]]:
+        # words give way as they are cut, and frequencies are counted text by text, so that no two forms of a block are held at once
+        words = list(self.words)[::-1]
+        self.words = {}
         terms: dict[str, int] = {}
-        cuts = [[terms.setdefault(t, len(terms)) for t in self._pre_tokens(w)] for w in self.words]
+        lengths, flat = np.empty(len(words), dtype=np.int32), array("i")
+        for i in range(len(words)):
+            cut = self._pre_tokens(words.pop())
+            lengths[i] = len(cut)
+            flat.extend([terms.setdefault(t, len(terms)) for t in cut])
         order = sorted(terms)  # neighbours with a common beginning compress well
-        place = np.empty(len(order), dtype=np.int64)
-        place[[terms[t] for t in order]] = np.arange(len(order))
-        lengths = np.array([len(c) for c in cuts], dtype=np.int64)
-        flat = place[np.array([t for c in cuts for t in c], dtype=np.int64)]
-        begins = np.cumsum(lengths) - lengths
-        words = np.concatenate([np.empty(0, np.int32), *self.texts])
-        docs = np.repeat(np.arange(len(self.texts)), [len(t) for t in self.texts])
-        # one entry per pre-token of each word of each text
-        n = lengths[words]
-        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        tokens = flat[np.repeat(begins[words], n) + inner]
-        pairs, times = np.unique(np.repeat(docs, n) * max(len(order), 1) + tokens, return_counts=True)
-        of_doc, token = np.divmod(pairs, max(len(order), 1))
-        per_doc = np.bincount(of_doc, minlength=len(self.texts))
-        return pack(self.sizes, per_doc, np.diff(token, prepend=0), times), order
+        place = np.empty(len(order), dtype=np.int32)
+        place[np.fromiter(map(terms.__getitem__, order), np.int32, len(order))] = np.arange(len(order))
+        del terms
+        flat = place[np.frombuffer(flat, dtype=np.int32)] if flat else np.empty(0, np.int32)
+        begins = np.cumsum(lengths, dtype=np.int32) - lengths
+        steps, times, per_doc, last = [], [], [], 0
+        self.texts.reverse()
+        while self.texts:
+            text = self.texts.pop()
+            # one entry per pre-token of each word of the text
+            n = lengths[text]
+            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            token, often = np.unique(flat[np.repeat(begins[text], n) + inner], return_counts=True)
+            per_doc.append(len(token))
+            if len(token):
+                steps.append(np.diff(token, prepend=np.int32(last)).astype(np.int32))
+                times.append(often.astype(np.int32))
+                last = int(token[-1])
+        none = np.empty(0, np.int32)
+        return pack(self.sizes, per_doc, np.concatenate([none, *steps]), np.concatenate([none, *times])), order
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
