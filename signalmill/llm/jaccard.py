@@ -6,10 +6,11 @@ others stand by hash. Two similar sets share a shingle among the first few of ea
 is tested on the pairs that lists form; no part of a list is skipped by place.
 
 Answers are derived, not recomputed, for sets that are highly similar to one already answered. Each list is
-first checked against its first set only. What links becomes a cluster around a hub, at a
-known distance from it. A list within one cluster is skipped as a whole. Two
-clusters are skipped if their hubs are so far apart that no two members can be close, as
-Jaccard distance is a metric. Only members for which it leaves a doubt are compared.
+first checked against one pivot only. What links becomes a cluster around a hub, at a
+known distance from it. A list within one cluster is skipped as a whole; the others meet a new pivot, up to a few turns.
+Then clusters are compared by their hubs. Two whose hubs link are one; two are skipped if their hubs are exactly so far
+apart that no two members can be close, as Jaccard distance is a metric. Only members for which it leaves a doubt are
+compared, by sketches first. In a group of many sets that are just not similar, these are still pairs of its members.
 """
 
 from __future__ import annotations
@@ -19,13 +20,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalmill.llm.common import sliced, staged, text_or_empty
+from signalmill.llm.common import bound, sliced, staged, text_or_empty
 from signalmill.llm.components import components
 
 WORDS = 5
@@ -41,6 +41,10 @@ BROADCAST_IDS = 500_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Column of the row marks that are landed with documents.
 _MARK = "_landed_row_mark"
+#: Lists meet a pivot so many times at the most. This changes the work, not the result.
+TURNS = 3
+#: Sketches have at least so many cells for each member.
+CELLS = 4
 
 
 class _Hashes(dict):
@@ -74,25 +78,15 @@ def needed(n: int) -> int:
     return -(-LEAST * n // 100)
 
 
-def parity(found: np.ndarray) -> bytes:
-    """Bits of how often, odd or even, a set's hashes fall into as many cells as it has members, rounded up to a power of 2.
+def parity(found: np.ndarray) -> np.ndarray:
+    """Bits of how often, odd or even, a set's hashes fall into ``CELLS`` times as many cells as it has members, rounded up to a power of 2.
 
     Two sets differ in at least as many members as their bits differ. Halves of the larger
     of two sketches, one laid over the other, give that of the smaller size.
     """
-    cells = 1 << max(6, math.ceil(math.log2(max(len(found), 1))))
+    cells = 1 << max(6, math.ceil(math.log2(max(CELLS * len(found), 1))))
     counts = np.bincount((found & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
-
-
-def differing(a: bytes, b: bytes) -> int:
-    """A lower bound of the number of members in which two sets differ, from their sketches."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) < len(y):
-        x, y = y, x
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -149,7 +143,7 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
                     prefixes.append(None)
                     sketches.append(None)
                     continue
-                if len(seen) < 1_000_000:  # only saves work
+                if len(seen) < 200_000:  # only saves work
                     seen.add(node)
                 is_late = np.zeros(n, bool)
                 if len(late):
@@ -161,24 +155,24 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
                 prefixes.append(first.view(np.int64))
                 sketches.append(parity(found))
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
-            columns += [pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+            columns += [pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "prefix", "bits"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(make, f"doc_id {id_type}, n_shingles long, node long, prefix array<long>, bits binary")
+    return rows.mapInArrow(make, f"doc_id {id_type}, n_shingles long, node long, prefix array<long>, bits array<long>")
 
 
 def _distance_bound(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column) -> Column:
-    """A lower bound of the Jaccard distance, from sizes and sketches."""
+    """A lower bound of the Jaccard distance, from sizes and sketches of sets whose sizes fit (one sketch is at most twice the other)."""
 
-    @F.pandas_udf("double")
-    def least(n_a: pd.Series, a: pd.Series, n_b: pd.Series, b: pd.Series) -> pd.Series:
-        apart = np.array([differing(x, y) for x, y in zip(a, b, strict=True)], dtype=np.float64)
-        total = (n_a + n_b).to_numpy()
-        apart = np.maximum(apart, (n_a - n_b).abs().to_numpy())
-        return pd.Series(2 * apart / (total + apart))
+    def to(size: Column, bits: Column) -> Column:
+        halves = F.zip_with(F.slice(bits, F.lit(1), size), F.slice(bits, size + 1, size), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) > size, halves).otherwise(bits)
 
-    return least(n_a, bits_a, n_b, bits_b)
+    size = F.least(F.size(bits_a), F.size(bits_b))
+    unlike = F.zip_with(to(size, bits_a), to(size, bits_b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.greatest(F.aggregate(unlike, F.lit(0), lambda total, n: total + n).cast("long"), F.abs(n_a - n_b))
+    return bound(apart, lambda d: 2 * d / (n_a + n_b + d))
 
 
 class _Join:
@@ -201,7 +195,12 @@ class _Join:
         for side in ("a", "b"):
             own = self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
             pairs = pairs.join(own, side)
-        return pairs.withColumn("apart", _distance_bound(*map(F.col, ("n_a", "bits_a", "n_b", "bits_b")))).drop("bits_a", "bits_b")
+        fit = (100 * F.col("n_a") >= LEAST * F.col("n_b")) & (100 * F.col("n_b") >= LEAST * F.col("n_a"))
+        if "radius" in pairs.columns:  # of hubs, whose members may fit all the same
+            near = F.when(fit, _distance_bound(*map(F.col, ("n_a", "bits_a", "n_b", "bits_b"))))
+            sizes = F.abs(F.col("n_a") - F.col("n_b")) / F.greatest("n_a", "n_b")
+            return pairs.withColumn("apart", F.coalesce(near, sizes)).drop("bits_a", "bits_b")
+        return pairs.where(fit).withColumn("apart", _distance_bound(*map(F.col, ("n_a", "bits_a", "n_b", "bits_b")))).drop("bits_a", "bits_b")
 
     def full_sets(self, wanted: DataFrame) -> DataFrame:
         """node, members of the wanted nodes (w), from the texts of their least ids."""
@@ -234,45 +233,81 @@ class _Join:
         both = F.size(F.array_intersect("members_a", "members_b")).cast("long")
         return joined.withColumn("both", both).drop("members_a", "members_b")
 
+    def lists(self, entries: DataFrame, turn: int) -> DataFrame:
+        """Entries of the lists that lead from one cluster to another, each with the pivot of its list.
+
+        First this is the least node of a list, so that lists of the same sets share it. In later turns each token orders nodes in a
+        way of its own, so that a set meets many pivots.
+        """
+        mask = F.lit(0).cast("long") if not turn else F.col("token") if turn % 2 else F.bitwise_not("token")
+        ends = entries.groupBy("token").agg(
+            F.min("hub").alias("low"), F.max("hub").alias("high"), F.min(F.col("node").bitwiseXOR(mask)).alias("mark")
+        )
+        ends = ends.where("low <> high").select(F.col("token").alias("t"), F.col("mark").bitwiseXOR(mask).alias("pivot"))
+        found = entries.join(ends, F.col("token") == F.col("t"))
+        return staged(found.select("token", "node", "place", "n", "hub", "pivot"), "list-entries")
+
+    def with_sets(self, members: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """``members`` and the full sets of whatever else the pairs name."""
+        wanted = _ends(pairs)
+        if members is None:
+            return self.full_sets(wanted)
+        more = staged(wanted.join(members.select("node"), F.col("w") == F.col("node"), "left_anti"), "more-nodes")
+        return members if more.isEmpty() else members.unionByName(self.full_sets(more))
+
     def links(self) -> DataFrame:
         """a, b: enough similar pairs to connect whatever is connected."""
-        tokens = self.sets.where("prefix IS NOT NULL").select("node", F.posexplode("prefix").alias("place", "token"))
-        lists = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        live = staged(lists.where("low <> high").select(F.col("token").alias("t"), "low"), "live-tokens")
-        entries = tokens.join(live, F.col("token") == F.col("t")).select("token", "node", "place", "low")
-        entries = staged(entries, "token-entries")
-
-        # each list against its first set
-        star = entries.where("node <> low").groupBy(F.col("low").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("times"))
-        star = staged(self.described(star.where("times > 1").drop("times")).where("apart <= 0.25"), "star-pairs")
-        members = self.full_sets(_ends(star))
-        first = staged(self.shared(star, members).where(_similar()).select("a", "b"), "star-links")
-        clusters = staged(components(first), "clusters")
+        tokens = self.sets.where("prefix IS NOT NULL")
+        tokens = tokens.select("node", F.col("node").alias("hub"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("place", "token"))
+        entries = self.lists(tokens, 0)
+
+        # each list against its pivot; what links becomes a cluster, and lists within one cluster are skipped from then on
+        links, clusters, members = None, None, None
+        for turn in range(TURNS):
+            star = entries.where("node <> pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(
+                F.count("*").alias("times"), F.first("hub").alias("hub")
+            )
+            if clusters is None:
+                star = star.where("times > 1")
+            else:
+                own = clusters.select(F.col("node").alias("p"), "component")
+                star = star.join(own, F.col("a") == F.col("p"), "left").where(F.coalesce("component", "a") != F.col("hub"))
+            star = staged(self.described(star.select("a", "b")).where("apart <= 0.25"), "star-pairs")
+            members = self.with_sets(members, star)
+            found = staged(self.shared(star, members).where(_similar()).select("a", "b"), "star-links")
+            if turn and found.isEmpty():
+                break
+            links = found if links is None else links.unionByName(found)
+            clusters = staged(components(links), "clusters")
+            own = clusters.select(F.col("node").alias("x"), "component")
+            named = entries.drop("hub", "pivot").join(own, F.col("node") == F.col("x"), "left")
+            entries = self.lists(named.select("token", "node", "place", "n", F.coalesce("component", "node").alias("hub")), turn + 1)
+
+        # how far members are from their hubs
         to_hub = clusters.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
-        distances = self.shared(_sized(to_hub, self.nodes), members)
-        union = F.col("n_a") + F.col("n_b") - F.col("both")
-        far = staged(distances.select("a", "b", (1 - F.col("both") / union).alias("far")), "hub-distances")
-
-        # lists that lead from one cluster to another
-        hubs = far.select(F.col("b").alias("x"), F.col("a").alias("hub"), "far")
-        placed = entries.drop("low").join(hubs, F.col("node") == F.col("x"), "left").select(
-            "token", "node", "place", F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")
-        )
-        leading = placed.groupBy("token").agg(F.min("hub").alias("low"), F.max("hub").alias("high")).where("low <> high")
-        placed = placed.join(leading.select(F.col("token").alias("t")), F.col("token") == F.col("t"))
-        sizes = self.nodes.select(F.col("node").alias("m"), "n")
-        placed = placed.join(sizes, F.col("node") == F.col("m")).select("token", "node", "place", "hub", "far", "n")
+        members = self.with_sets(members, to_hub)
+        far = staged(self.shared(_sized(to_hub, self.nodes), members).select("a", "b", _distance().alias("far")), "hub-distances")
+        own = far.select(F.col("b").alias("x"), "far")
+        placed = entries.drop("pivot").join(own, F.col("node") == F.col("x"), "left").drop("x").fillna(0.0, "far")
         placed = staged(placed, "cluster-entries")
+
+        # clusters that meet in a list, and whose hubs are near enough for any of their members
         reach = far.groupBy(F.col("a").alias("h")).agg(F.max("far").alias("radius"))
-        heads = placed.groupBy("token", "hub").agg(F.min("place").alias("place"), F.min("n").alias("n_low"), F.max("n").alias("n_high"))
+        heads = placed.groupBy("token", "hub").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"))
         pairs = _meeting(heads, F.col("l.hub") < F.col("r.hub"), _sizes_fit("n_low", "n_high"))
         pairs = pairs.select(F.col("l.hub").alias("a"), F.col("r.hub").alias("b")).distinct()
         for side in ("a", "b"):
             own = reach.select(F.col("h").alias(f"h_{side}"), F.col("radius").alias(f"radius_{side}"))
             pairs = pairs.join(own, F.col(side) == F.col(f"h_{side}"), "left").drop(f"h_{side}")
-        radius = F.coalesce("radius_a", F.lit(0.0)) + F.coalesce("radius_b", F.lit(0.0))
-        doubtful = self.described(pairs).where(F.col("apart") - radius <= 0.25 + 1e-9)
-        doubtful = staged(doubtful.select(F.col("a").alias("hub_a"), F.col("b").alias("hub_b"), F.col("apart").alias("hubs_apart")), "hub-pairs")
+        pairs = pairs.withColumn("radius", F.coalesce("radius_a", F.lit(0.0)) + F.coalesce("radius_b", F.lit(0.0)))
+        near = self.described(pairs.select("a", "b", "radius")).where(F.col("apart") - F.col("radius") <= 0.25 + 1e-9)
+        near = staged(near, "hub-pairs")
+        members = self.with_sets(members, near)
+        hubs = staged(self.shared(near, members).select("a", "b", "radius", _distance().alias("apart"), _similar().alias("linked")), "hub-links")
+        links = links.unionByName(hubs.where("linked").select("a", "b"))
+        # clusters whose hubs link are one already; pairs of single sets are answered
+        doubtful = hubs.where(~F.col("linked") & (F.col("radius") > 0) & (F.col("apart") - F.col("radius") <= 0.25 + 1e-9))
+        doubtful = doubtful.select(F.col("a").alias("hub_a"), F.col("b").alias("hub_b"), F.col("apart").alias("hubs_apart"))
 
         # members for which the triangle leaves a doubt
         left = placed.alias("l").join(doubtful.alias("d"), F.col("l.hub") == F.col("d.hub_a"))
@@ -281,12 +316,8 @@ class _Join:
         met = met.where(F.col("hubs_apart") - F.col("l.far") - F.col("r.far") <= 0.25 + 1e-9)
         met = met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
         met = staged(self.described(met).where("apart <= 0.25"), "member-pairs")
-        more = _ends(met).join(members.select("node"), F.col("w") == F.col("node"), "left_anti")
-        more = staged(more, "more-nodes")
-        if more.count():
-            members = members.unionByName(self.full_sets(more))
-        second = self.shared(met, members).where(_similar()).select("a", "b")
-        return first.unionByName(second)
+        members = self.with_sets(members, met)
+        return links.unionByName(self.shared(met, members).where(_similar()).select("a", "b"))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -299,6 +330,10 @@ def _sized(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs
 
 
+def _distance() -> Column:
+    return 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
+
+
 def _similar() -> Column:
     return 100 * F.col("both") >= LEAST * (F.col("n_a") + F.col("n_b") - F.col("both"))
 

@@ -7,11 +7,12 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from signalmill.llm import jaccard, lines
 from signalmill.llm.components import components
 from signalmill.llm.fingerprints import anchors, edited, fingerprint, fingerprints, likeness
-from signalmill.llm.jaccard import differing, parity, shingles, similar_documents
+from signalmill.llm.jaccard import _distance_bound, parity, shingles, similar_documents
 
 
 def smallest(nodes, links):
@@ -77,11 +78,19 @@ def test_similar_documents(spark, monkeypatch, common):
     assert {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in found} == {i: (wanted[i], len(sets[i])) for i in wanted}
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(0, 60), max_size=80), st.lists(st.integers(0, 60), max_size=200))
-def test_sketches_bound_the_difference(a, b):
-    x, y = (shingles(" ".join(f"v{i}" for i in v), jaccard._Hashes()) for v in (a, b))
-    assert differing(parity(x), parity(y)) <= len(set(x.tolist()) ^ set(y.tolist()))
+def test_sketches_bound_the_distance(spark):
+    rng, rows = random.Random(5), []
+    for i in range(200):
+        a = [f"v{rng.randrange(60)}" for _ in range(rng.randrange(5, 300))]
+        b = [f"w{rng.randrange(60)}" if rng.random() < i / 4000 else v for v in a[: max(5, int(len(a) * rng.uniform(0.75, 1)))]]
+        x, y = (shingles(" ".join(words), jaccard._Hashes()) for words in (a, b))
+        if 75 * max(len(x), len(y)) <= 100 * min(len(x), len(y)):
+            both = len(set(x.tolist()) & set(y.tolist()))
+            rows.append((len(x), parity(x).tolist(), len(y), parity(y).tolist(), 1 - both / (len(x) + len(y) - both)))
+    pairs = spark.createDataFrame(rows, "m long, x array<long>, n long, y array<long>, far double")
+    found = pairs.select("far", _distance_bound(*map(F.col, "mxny")).alias("least")).collect()
+    assert all(r["least"] <= r["far"] + 1e-12 for r in found)
+    assert sum(r["least"] > 0.7 * r["far"] for r in found) > len(found) // 2  # and closely
 
 
 def test_words_are_lower_cased_in_ascii_only():
