@@ -244,6 +244,7 @@ class _Join:
             F.min("hub").alias("low"), F.max("hub").alias("high"), F.min(F.col("node").bitwiseXOR(mask)).alias("mark")
         )
         ends = ends.where("low <> high").select(F.col("token").alias("t"), F.col("mark").bitwiseXOR(mask).alias("pivot"))
+        ends = staged(ends, "live-lists")  # its size is known then: while it is small, entries are not shuffled to meet it
         found = entries.join(ends, F.col("token") == F.col("t"))
         return staged(found.select("token", "node", "place", "n", "hub", "pivot"), "list-entries")
 
