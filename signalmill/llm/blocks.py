@@ -8,7 +8,6 @@ term that occurs in every text is one row per block, so none is hot.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -18,8 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalmill.llm.common import text_or_empty
-from signalmill.session import scratch_path
+from signalmill.llm.common import bucketed, text_or_empty
 
 #: A block is closed once its texts have this many characters, or its form says that it is full.
 BLOCK_CHARS = 12_000_000
@@ -56,7 +54,6 @@ def blocks_of(docs: DataFrame, make: Callable[[], Block], id_col: str, text_col:
 
     Bucketing lets values come to the blocks without moving the blocks.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -79,13 +76,7 @@ def blocks_of(docs: DataFrame, make: Callable[[], Block], id_col: str, text_col:
 
     shape = f"block long, ids array<{id_type}>, packed binary, terms array<string>"
     made = rows.mapInArrow(gather, shape)
-    name = f"blocks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = made.write.bucketBy(buckets, "block").option("compression", "zstd")
-    writer.format("parquet").option("path", scratch_path(spark, "blocks")).saveAsTable(name)
-    table = spark.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the files stay; the name would outlive its use
-    return table
+    return bucketed(made, "block", "blocks")
 
 
 def _row(number: int, ids: list, block: Block, kind: pa.DataType) -> pa.RecordBatch:

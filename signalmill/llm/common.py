@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,6 +29,17 @@ def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, label: str) -> DataFrame:
+    """As :func:`staged`, dealt by ``column``, so that grouping by it moves no row."""
+    spark, name = df.sparkSession, f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.bucketBy(buckets, column).option("compression", "zstd")
+    writer.format("parquet").option("path", scratch_path(spark, label)).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay; the name would outlive its use
+    return table
+
+
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``TEXTS_PER_BATCH`` rows, so that what is made of them stays small."""
     for batch in batches:

@@ -3,7 +3,9 @@
 Sets are ordered rarest first: shingles seen in many documents come last, the
 others stand by hash. Two similar sets share a shingle among the first few of each
 (prefix filter), at places early enough for the rest to suffice (positional filter), which
-is tested on the pairs that lists form; no part of a list is skipped by place.
+is tested on the pairs that lists form; no part of a list is skipped by place. Two similar sets also share
+so many of these shingles that few other pairs are left. Which shingles have a list at all is found out from
+sorted, shortened shingles in packed shares, before any list is made.
 
 Answers are derived, not recomputed, for sets that are highly similar to one already answered. Each list is
 first checked against one pivot only. What links becomes a cluster around a hub, at a
@@ -22,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalmill.llm.common import bound, sliced, staged, text_or_empty
+from signalmill.llm.common import bound, bucketed, sliced, staged, text_or_empty
 from signalmill.llm.components import components
 
 WORDS = 5
@@ -45,6 +48,8 @@ _MARK = "_landed_row_mark"
 TURNS = 3
 #: Sketches have at least so many cells for each member.
 CELLS = 4
+#: Sets of about so many first shingles form a block, whose shingles travel together.
+BLOCK_TOKENS = 300_000
 
 
 class _Hashes(dict):
@@ -123,7 +128,7 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
 
 
 def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, node (a hash of the set; null if empty), prefix, bits (a sketch of the set).
+    """block, doc_id, n_shingles, node (a hash of the set; null if empty), prefix, bits (a sketch of the set).
 
     ``prefix`` and ``bits`` are null where the task has seen the same set before.
     """
@@ -131,6 +136,7 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, late, seen = _Hashes(), shared.value, set()
+        block, held = TaskContext.get().partitionId() << 32, 0
         for batch in sliced(batches):
             sizes, nodes, prefixes, sketches = [], [], [], []
             for text in batch.column(1):
@@ -154,12 +160,81 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
                     first = np.concatenate([first, found[is_late][: size - len(first)]])
                 prefixes.append(first.view(np.int64))
                 sketches.append(parity(found))
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
+            columns = [pa.array([block] * len(sizes), pa.int64()), batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
             columns += [pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "node", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "doc_id", "n_shingles", "node", "prefix", "bits"])
+            held += sum(len(p) for p in prefixes if p is not None)
+            if held >= BLOCK_TOKENS:
+                block, held = block + 1, 0
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(make, f"doc_id {id_type}, n_shingles long, node long, prefix array<long>, bits array<long>")
+    return rows.mapInArrow(make, f"block long, doc_id {id_type}, n_shingles long, node long, prefix array<long>, bits array<long>")
+
+
+def _shortened(prefixes: pa.ChunkedArray, bits: int) -> np.ndarray:
+    """The highest bits of all tokens, list by list."""
+    held = [np.empty(0, np.int64), *(c.flatten().to_numpy() for c in prefixes.chunks)]
+    return np.concatenate(held).view(np.uint64) >> np.uint64(64 - bits)
+
+
+def shared_entries(sets: DataFrame) -> DataFrame:
+    """node, n, place, token: the first shingles that more than one set may have.
+
+    Each block sends its sorted tokens, shortened and as gaps, in one row per share of the token range, and gets a
+    bit per token back. A token goes out once per block, so none is hot. Shortened tokens are long enough that about one in a hundred
+    agrees with another by chance, at any size of the data; such a token only makes a list of one set.
+    """
+    spark = sets.sparkSession
+    blocks = sets.where("prefix IS NOT NULL").select("block", "node", F.col("n_shingles").alias("n"), "prefix")
+    total = blocks.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(total.bit_length() + 7, 63 - shares.bit_length())
+
+    def send(table: pa.Table) -> pa.Table:
+        short, times = np.unique(_shortened(table["prefix"], bits), return_counts=True)
+        cuts = np.searchsorted(short * np.uint64(shares) >> np.uint64(bits), np.arange(shares + 1, dtype=np.uint64))
+        rows = []
+        for share, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            if a < b:
+                gaps = np.diff(short[a:b], prepend=np.uint64(0)).astype("<u8")
+                planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T)
+                again = np.packbits(times[a:b] > 1).tobytes()
+                rows.append((share, b - a, pa.compress(planes, codec="zstd", asbytes=True), again))
+        share, n, gaps, again = zip(*rows, strict=True) if rows else ((), (), (), ())
+        columns = [pa.array([table["block"][0].as_py()] * len(rows), pa.int64()), pa.array(share, pa.int32()), pa.array(n, pa.int32())]
+        return pa.table([*columns, pa.array(gaps, pa.binary()), pa.array(again, pa.binary())], names=["block", "share", "n", "gaps", "again"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        sizes, held, again = table["n"].to_pylist(), [], []
+        for n, gaps, more in zip(sizes, table["gaps"].to_pylist(), table["again"].to_pylist(), strict=True):
+            planes = np.frombuffer(pa.decompress(gaps, 8 * n, codec="zstd"), np.uint8).reshape(8, n)
+            held.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64))
+            again.append(np.unpackbits(np.frombuffer(more, np.uint8), count=n).astype(bool))
+        _, number, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+        shared = times > 1
+        shared[number[np.concatenate(again)]] = True
+        shared = shared[number]
+        ends = np.cumsum(sizes).tolist()
+        marks = [np.packbits(shared[e - n : e]).tobytes() for e, n in zip(ends, sizes, strict=True)]
+        return pa.table([table["block"], table["share"], table["n"], pa.array(marks, pa.binary())], names=["block", "share", "n", "marks"])
+
+    def pick(table: pa.Table, marks: pa.Table) -> pa.Table:
+        order = np.argsort(marks["share"].to_numpy())
+        sizes, packed = marks["n"].to_pylist(), marks["marks"].to_pylist()
+        known = [np.unpackbits(np.frombuffer(packed[i], np.uint8), count=sizes[i]) for i in order]
+        known = np.concatenate([np.empty(0, np.uint8), *known]).astype(bool)
+        _, number = np.unique(_shortened(table["prefix"], bits), return_inverse=True)
+        at = np.flatnonzero(known[number])
+        lists = table["prefix"].combine_chunks()
+        lengths = lists.value_lengths().to_numpy()
+        of = np.repeat(np.arange(len(lengths)), lengths)[at]
+        place = at - (np.cumsum(lengths) - lengths)[of]
+        columns = [pa.array(table[c].to_numpy()[of]) for c in ("node", "n")]
+        return pa.table([*columns, pa.array(place, pa.int32()), lists.flatten().take(pa.array(at))], names=["node", "n", "place", "token"])
+
+    sent = blocks.groupBy("block").applyInArrow(send, "block long, share int, n int, gaps binary, again binary")
+    marks = sent.groupBy("share").applyInArrow(answer, "block long, share int, n int, marks binary")
+    return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(pick, "node long, n long, place int, token long")
 
 
 def _distance_bound(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column) -> Column:
@@ -180,20 +255,20 @@ class _Join:
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str) -> None:
         self.rows = _rows(docs, id_col, text_col)
-        self.sets = staged(shingle_sets(self.rows, common_shingles(self.rows)), "shingle-sets")
+        self.sets = bucketed(shingle_sets(self.rows, common_shingles(self.rows)), "block", "shingle-sets")
         nodes = self.sets.where("node IS NOT NULL").groupBy("node")
-        self.nodes = staged(
-            nodes.agg(
-                F.first("n_shingles").alias("n"), F.first("bits", ignorenulls=True).alias("bits"),
-                F.min("doc_id").alias("least"),
-            ),
-            "shingle-nodes",
-        )
+        self.nodes = staged(nodes.agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("least")), "shingle-nodes")
 
     def described(self, pairs: DataFrame) -> DataFrame:
-        """Adds size and sketch of a and b."""
+        """Adds the sizes of a and b, and how far they are apart at least."""
+        # landed, so that sizes are known: while what pairs name is few, the sets are not shuffled to meet it
+        pairs = staged(pairs, "sketched-pairs")
+        wanted = staged(_ends(pairs), "sketched-nodes")
+        sketches = self.sets.where("bits IS NOT NULL").select("node", F.col("n_shingles").alias("n"), "bits")
+        sketches = sketches.join(wanted, F.col("node") == F.col("w")).drop("w").dropDuplicates(["node"])
+        sketches = staged(sketches, "sketches")
         for side in ("a", "b"):
-            own = self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+            own = sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
             pairs = pairs.join(own, side)
         fit = (100 * F.col("n_a") >= LEAST * F.col("n_b")) & (100 * F.col("n_b") >= LEAST * F.col("n_a"))
         if "radius" in pairs.columns:  # of hubs, whose members may fit all the same
@@ -258,19 +333,18 @@ class _Join:
 
     def links(self) -> DataFrame:
         """a, b: enough similar pairs to connect whatever is connected."""
-        tokens = self.sets.where("prefix IS NOT NULL")
-        tokens = tokens.select("node", F.col("node").alias("hub"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("place", "token"))
-        entries = self.lists(tokens, 0)
+        tokens = staged(shared_entries(self.sets), "shared-entries")
+        entries = self.lists(tokens.withColumn("hub", F.col("node")), 0)
 
         # each list against its pivot; what links becomes a cluster, and lists within one cluster are skipped from then on
         links, clusters, members = None, None, None
         for turn in range(TURNS):
             star = entries.where("node <> pivot").groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(
-                F.count("*").alias("times"), F.first("hub").alias("hub")
+                F.count("*").alias("times"), F.first("hub").alias("hub"), F.first("n").alias("n")
             )
-            if clusters is None:
-                star = star.where("times > 1")
-            else:
+            # half of what two similar sets of this size share; whoever meets a pivot too rarely is compared by clusters
+            star = star.where("times > 1 AND 56 * times >= 3 * n")
+            if clusters is not None:
                 own = clusters.select(F.col("node").alias("p"), "component")
                 star = star.join(own, F.col("a") == F.col("p"), "left").where(F.coalesce("component", "a") != F.col("hub"))
             star = staged(self.described(star.select("a", "b")).where("apart <= 0.25"), "star-pairs")
@@ -296,7 +370,12 @@ class _Join:
         reach = far.groupBy(F.col("a").alias("h")).agg(F.max("far").alias("radius"))
         heads = placed.groupBy("token", "hub").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"))
         pairs = _meeting(heads, F.col("l.hub") < F.col("r.hub"), _sizes_fit("n_low", "n_high"))
-        pairs = pairs.select(F.col("l.hub").alias("a"), F.col("r.hub").alias("b")).distinct()
+        pairs = pairs.groupBy(F.col("l.hub").alias("a"), F.col("r.hub").alias("b")).agg(
+            F.count("*").alias("times"), F.min("l.n_low").alias("low_a"), F.max("l.n_high").alias("high_a"),
+            F.min("r.n_low").alias("low_b"), F.max("r.n_high").alias("high_b"),
+        )
+        enough = _enough_shared(F.col("times"), *map(F.col, ("low_a", "high_a", "low_b", "high_b")))
+        pairs = staged(pairs.where(enough).select("a", "b"), "met-hubs")
         for side in ("a", "b"):
             own = reach.select(F.col("h").alias(f"h_{side}"), F.col("radius").alias(f"radius_{side}"))
             pairs = pairs.join(own, F.col(side) == F.col(f"h_{side}"), "left").drop(f"h_{side}")
@@ -315,7 +394,10 @@ class _Join:
         same = (F.col("l.token") == F.col("r.token")) & (F.col("d.hub_b") == F.col("r.hub"))
         met = left.join(placed.alias("r"), same).where(_places_fit())
         met = met.where(F.col("hubs_apart") - F.col("l.far") - F.col("r.far") <= 0.25 + 1e-9)
-        met = met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
+        met = met.groupBy(F.col("l.node").alias("a"), F.col("r.node").alias("b")).agg(
+            F.count("*").alias("times"), F.first("l.n").alias("own_a"), F.first("r.n").alias("own_b")
+        )
+        met = met.where(_enough_shared(F.col("times"), *map(F.col, ("own_a", "own_a", "own_b", "own_b")))).select("a", "b")
         met = staged(self.described(met).where("apart <= 0.25"), "member-pairs")
         members = self.with_sets(members, met)
         return links.unionByName(self.shared(met, members).where(_similar()).select("a", "b"))
@@ -344,9 +426,22 @@ def _sizes_fit(low: str, high: str) -> Column:
 
 
 def _places_fit() -> Column:
-    """The positional filter: what follows the shared shingle in either set must suffice for the overlap."""
-    left = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place"))
-    return _sizes_fit("n", "n") & ((100 + LEAST) * left >= LEAST * (F.col("l.n") + F.col("r.n")))
+    """The positional filter: what stands before and after a shared shingle in both sets must suffice for the overlap.
+
+    It holds for every shingle that two similar sets share, so that these can be counted behind it.
+    """
+    before = F.least("l.place", "r.place")
+    after = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place"))
+    return _sizes_fit("n", "n") & ((100 + LEAST) * (before + after) >= LEAST * (F.col("l.n") + F.col("r.n")))
+
+
+def _enough_shared(times: Column, low_a: Column, high_a: Column, low_b: Column, high_b: Column) -> Column:
+    """Whether sets of such sizes that share ``times`` of their first shingles may be similar.
+
+    Of a set's first n - ceil(3n/4) + 1 shingles, all but n - o are shared if o are shared in all, and o is at least 3/7 of both
+    sizes. The set whose first ones end earlier shares them with the first ones of the other, as both stand in one order.
+    """
+    return 28 * times >= F.least(12 * low_a - 9 * high_b, 12 * low_b - 9 * high_a) + 7
 
 
 def _meeting(heads: DataFrame, order: Column, fit: Column) -> DataFrame:
