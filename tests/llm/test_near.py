@@ -246,3 +246,31 @@ def test_likeness_of_texts_of_different_lengths(a, b):
     # the same anchors, but in another order
     swapped = "".join(text[i : i + 500] for i in rng.sample(range(0, 6000, 500), 12))
     assert likeness(mark, fingerprint(swapped)) < 0.7
+
+
+def test_shared_entries_hold_every_shared_token(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 40)
+    rng = random.Random(11)
+    tokens = [rng.randrange(-(2**63), 2**63) for _ in range(150)]
+    sets = [(i // 4, i, rng.sample(tokens, rng.randint(1, 12)) if i % 9 else None) for i in range(40)]
+    rows = spark.createDataFrame([(b, n, 20 + n, p) for b, n, p in sets], "block long, node long, n_shingles long, prefix array<long>")
+    found = {(r["node"], r["n"], r["place"], r["token"]) for r in jaccard.shared_entries(rows).collect()}
+    every = {(n, 20 + n, place, t) for _, n, p in sets for place, t in enumerate(p or [])}
+    holders = {t: {n for n, _, _, u in every if u == t} for t in tokens}
+    assert found <= every
+    assert found >= {e for e in every if len(holders[e[3]]) > 1}
+    assert len(found) < len(every)  # most tokens of one set alone are left out
+    assert jaccard.shared_entries(rows.limit(0)).count() == 0
+
+
+def test_similar_sets_share_enough_first_shingles():
+    rng = random.Random(2)
+    for _ in range(4000):
+        n_a, shape = rng.randint(1, 90), rng.random()
+        a = set(rng.sample(range(400), n_a))
+        b = set(rng.sample(sorted(a), max(1, int(n_a * (0.7 + 0.3 * shape))))) | set(rng.sample(range(400, 500), rng.randint(0, n_a // 4)))
+        if 100 * len(a & b) < 75 * len(a | b):
+            continue
+        first = [sorted(x)[: len(x) - jaccard.needed(len(x)) + 1] for x in (a, b)]
+        shared = len(set(first[0]) & set(first[1]))
+        assert 28 * shared >= min(12 * len(a) - 9 * len(b), 12 * len(b) - 9 * len(a)) + 7
