@@ -188,11 +188,13 @@ def shared_entries(sets: DataFrame) -> DataFrame:
     blocks = sets.where("prefix IS NOT NULL").select("block", "node", F.col("n_shingles").alias("n"), "prefix")
     total = blocks.agg(F.sum(F.size("prefix"))).first()[0] or 0
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = min(total.bit_length() + 7, 63 - shares.bit_length())
+    bits = min(total.bit_length() + 7, 63)
+    rest = max(bits - 31, 0)  # shares are told by the highest bits alone
 
     def send(table: pa.Table) -> pa.Table:
         short, times = np.unique(_shortened(table["prefix"], bits), return_counts=True)
-        cuts = np.searchsorted(short * np.uint64(shares) >> np.uint64(bits), np.arange(shares + 1, dtype=np.uint64))
+        share_of = (short >> np.uint64(rest)) * np.uint64(shares) >> np.uint64(bits - rest)
+        cuts = np.searchsorted(share_of, np.arange(shares + 1, dtype=np.uint64))
         rows = []
         for share, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
             if a < b:
