@@ -24,6 +24,9 @@ BLOCK_CHARS = 12_000_000
 #: Forms that number their words are full with so many distinct ones, however short the texts.
 BLOCK_WORDS = 400_000
 
+#: So many values are put together by block before they travel.
+PACKED_ROWS = 300_000
+
 _CODEC = "zstd"
 
 
@@ -32,7 +35,7 @@ class Block(Protocol):
 
     def full(self) -> bool: ...
 
-    def packed(self) -> tuple[bytes, list[str]]:
+    def packed(self) -> tuple[bytes, pa.Array]:
         """What the texts become, and the distinct terms by number."""
 
 
@@ -83,7 +86,7 @@ def _row(number: int, ids: list, block: Block, kind: pa.DataType) -> pa.RecordBa
     packed, terms = block.packed()
     columns = [
         pa.array([number], pa.int64()), pa.array([ids], pa.list_(kind)),
-        pa.array([packed], pa.binary()), pa.array([terms], pa.list_(pa.string())),
+        pa.array([packed], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "packed", "terms"])
 
@@ -93,8 +96,63 @@ def terms_of(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", F.posexplode("terms").alias("place", "term"))
 
 
-def distinct_terms(blocks: DataFrame) -> DataFrame:
-    return blocks.select(F.explode("terms").alias("term")).distinct()
+def dealt_terms(blocks: DataFrame) -> DataFrame:
+    """As :func:`terms_of`, with equal terms in one task and one after another; no term is hot, as it has a row per block."""
+    return terms_of(blocks).repartition("term").sortWithinPartitions("term")
+
+
+def packed_by_block(valued: DataFrame) -> DataFrame:
+    """block, places, sizes, data: the bytes (third column) of many places of a block in one row.
+
+    ``valued`` has block, place and bytes. Rows are put together as they come, ``PACKED_ROWS`` at a time, so that few and
+    small ones travel to the blocks, and none has to be sorted there.
+    """
+
+    def put(rows: pa.Table) -> pa.RecordBatch:
+        block, place = rows["block"].to_numpy(), rows["place"].to_numpy()
+        order = np.lexsort((place, block))
+        block, place = block[order], place[order]
+        found = rows.column(2).combine_chunks().take(pa.array(order))
+        ends = np.frombuffer(found.buffers()[1], "<i4")[found.offset : found.offset + len(found) + 1]
+        data, sizes = memoryview(found.buffers()[2]), np.diff(ends)
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+        runs = list(zip(cuts[:-1], cuts[1:], strict=True))
+        columns = [
+            pa.array(block[cuts[:-1]]),
+            pa.array([pack(np.diff(place[a:b], prepend=0)) for a, b in runs], pa.binary()),
+            pa.array([pack(sizes[a:b]) for a, b in runs], pa.binary()),
+            pa.array([_squeezed(data[ends[a] : ends[b]]) for a, b in runs], pa.binary()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["block", "places", "sizes", "data"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= PACKED_ROWS:
+                yield put(pa.Table.from_batches(held))
+                held, n = [], 0
+        if held:
+            yield put(pa.Table.from_batches(held))
+        pa.default_memory_pool().release_unused()
+
+    return valued.mapInArrow(gather, "block long, places binary, sizes binary, data binary")
+
+
+def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Places, sizes in bytes, and bytes of all rows that :func:`packed_by_block` made of a block."""
+    places, sizes, data = [np.empty(0, np.int32)], [np.empty(0, np.int32)], []
+    for gaps, own, held in zip(*(rows[c].to_pylist() for c in ("places", "sizes", "data")), strict=True):
+        places.append(np.cumsum(unpack(gaps)[0], dtype=np.int32))
+        sizes.append(unpack(own)[0])
+        data.append(pa.decompress(held[8:], int.from_bytes(held[:8], "little"), codec=_CODEC, asbytes=True))
+    return np.concatenate(places), np.concatenate(sizes), b"".join(data)
+
+
+def _squeezed(data: memoryview) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec=_CODEC, asbytes=True)
 
 
 def finish(

@@ -11,20 +11,18 @@ The ids then come back to the blocks of texts, where they are put in line.
 from __future__ import annotations
 
 import hashlib
-import re
-from array import array
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
-from operator import add
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalmill.llm.blocks import BLOCK_WORDS, blocks_of, finish, pack, terms_of, unpack
+from signalmill.llm.blocks import BLOCK_WORDS, blocks_of, finish, pack, packed_by_block, terms_of, unpack, unpacked
 from signalmill.llm.common import bound
 
 SPACE = "▁"
@@ -33,6 +31,10 @@ SPACE = "▁"
 FOLDED = 40
 #: Code points below this, the Latin ones, are told by a table within the row; others by edges.
 PLAIN = 0x250
+#: Texts are numbered together once they have about so many bytes.
+BATCH_BYTES = 2_000_000
+#: Ids of texts with about so many units are put in line together.
+AT_ONCE = 100_000
 
 
 @dataclass(frozen=True)
@@ -76,83 +78,116 @@ def load_pieces(path: str) -> Pieces:
     )
 
 
-def units_of(word: str, pairs: set[str]) -> list[str]:
-    """Cuts a word at its certain boundaries."""
-    if pairs.issuperset(map(add, word, word[1:])):
-        return [word]
-    out, begin = [], 0
-    for i in range(1, len(word)):
-        if word[i - 1 : i + 1] not in pairs:
-            out.append(word[begin:i])
-            begin = i
-    out.append(word[begin:])
-    return out
+class _Pairs:
+    """Which characters may stand side by side within a piece, told for many at once."""
+
+    def __init__(self, pairs: set[str]) -> None:
+        signs = sorted({c for p in pairs for c in p})
+        self.number = np.zeros(0x110000, dtype=np.int32)
+        self.number[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.inside = np.zeros((len(signs) + 1, len(signs) + 1), dtype=bool)
+        for first, second in pairs:
+            self.inside[self.number[ord(first)], self.number[ord(second)]] = True
+
+    def cut(self, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Cuts words of at least one character at their certain boundaries: the number of units of each, and all units."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        text = words.buffers()[2][offsets[0] : offsets[-1]].to_pybytes().decode().replace(" ", SPACE)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        sizes = pc.utf8_length(words).to_numpy(zero_copy_only=False)
+        begins = np.cumsum(sizes) - sizes
+        signs = self.number[codes]
+        begun = np.ones(len(codes), dtype=bool)
+        begun[1:] = ~self.inside[signs[:-1], signs[1:]]
+        begun[begins] = True
+        widths = 1 + (codes >= 0x80).astype(np.int32) + (codes >= 0x800) + (codes >= 0x10000)
+        ends = np.cumsum(widths, dtype=np.int32)
+        units = strings_at(np.append((ends - widths)[begun], ends[-1]), text.encode())
+        return np.add.reduceat(begun, begins, dtype=np.int32), units
 
 
-#: Blanks in a row, at an end or beside a new line, and characters that mark words here.
-_UNEVEN = re.compile("  | \n| $|^ |\n\n|\n |\x00")
-_WHOLE = "\x00"
+def strings_at(cuts: np.ndarray, data: bytes) -> pa.Array:
+    """The strings between neighbouring cuts of UTF-8 bytes."""
+    return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
 
 
-class _Numbers(dict):
-    def __missing__(self, word: str) -> int:
-        self[word] = found = len(self)
-        return found
+def units_of(word: str, pairs: set[str]) -> list[str]:
+    """Cuts a word at its certain boundaries."""
+    return _Pairs(pairs).cut(pa.array([word]))[1].to_pylist() if word else [word]
 
 
 class _Streams:
-    """The block of texts as streams of unit numbers, frequent units first."""
+    """The block of texts as streams of unit numbers, frequent units first.
+
+    Texts are cut into words, which begin at runs of blanks and, if no piece holds them, at new lines. Words
+    and units are numbered as Arrow strings; none is ever an object of its own, but the long ones.
+    """
 
     def __init__(self, path: str) -> None:
         self.pieces = load_pieces(path)
         self.by_hand = merge_long if self.pieces.kind == "bpe" else path_long
-        self.pairs = self.pieces.pairs
-        self.word = re.compile(" *[^ ]+| +")
-        #: Between two single blanks lies a word; new lines, if no piece holds them, end one as well.
-        self.breaks = not any("\n" in p for p in self.pairs)
-        self.words = _Numbers()
-        self.texts: list[np.ndarray] = []
+        self.pairs = _pairs_of(path)
+        self.breaks = not any("\n" in p for p in self.pieces.ids)
+        self.words = pa.array([], pa.string())
+        #: Numbers of all words, batch by batch, and how many each text has.
+        self.numbers: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        self.waiting: list[bytes] = []
+        self.waiting_bytes = 0
         self.hashes: list[bytes] = []
 
     def add(self, text: str) -> None:
-        if self.breaks and not _UNEVEN.search(text):
-            # split() does at once what the pattern does word by word
-            found = (" " + text).replace("\n", " \n").split(" ")[1:] if text else []
-        else:
-            found = self.word.findall(" " + text) if text else []
-            found = [_WHOLE + w for w in found]
-        found = list(map(self.words.__getitem__, found))
-        self.texts.append(np.array(found, dtype=np.int32))
-        self.hashes.append(hashlib.sha256(text.encode()).digest())
-
-    def _units(self, word: str) -> list[str]:
-        if word.startswith(_WHOLE):
-            return units_of(word[1:].replace(" ", SPACE), self.pairs)
-        if word.startswith("\n"):  # a new line, and what follows it without a blank
-            return ["\n", *(units_of(word[1:], self.pairs) if len(word) > 1 else [])]
-        return units_of(SPACE + word, self.pairs)
+        raw = text.encode()
+        self.hashes.append(hashlib.sha256(raw).digest())
+        self.waiting.append(b" " + raw if raw else raw)
+        self.waiting_bytes += len(raw)
+        if self.waiting_bytes >= BATCH_BYTES:
+            self._number()
+
+    def _number(self) -> None:
+        """Numbers the words of the texts that wait."""
+        ends = np.cumsum([0, *map(len, self.waiting)])
+        data = b"".join(self.waiting)
+        self.waiting, self.waiting_bytes = [], 0
+        signs = np.frombuffer(data, np.uint8)
+        begun = signs == 32
+        begun[1:] &= signs[:-1] != 32
+        if self.breaks:
+            lines = signs == 10
+            begun |= lines
+            begun[1:] |= lines[:-1]
+        begun[ends[:-1][np.diff(ends) > 0]] = True
+        cuts = np.append(np.flatnonzero(begun), len(data))
+        found = strings_at(cuts, data).dictionary_encode()
+        self.words = pc.unique(pa.concat_arrays([self.words, found.dictionary]))  # known ones keep their numbers
+        number = pc.index_in(found.dictionary, value_set=self.words).to_numpy(zero_copy_only=False).astype(np.int32)
+        self.numbers.append(number[found.indices.to_numpy()])
+        self.sizes.append(np.diff(np.searchsorted(cuts[:-1], ends)))
 
     def full(self) -> bool:
         return len(self.words) >= BLOCK_WORDS
 
-    def packed(self) -> tuple[bytes, list[str]]:
-        # words give way as their units come, and texts as the stream is filled, so that no two forms of a block are held at once
-        words = list(self.words)[::-1]
-        self.words = _Numbers()
-        terms: dict[str, int] = {}
-        lengths, flat = np.empty(len(words), dtype=np.int32), array("i")
-        for i in range(len(words)):
-            cut = self._units(words.pop())
-            lengths[i] = len(cut)
-            flat.extend([terms.setdefault(u, len(terms)) for u in cut])
-        flat = np.frombuffer(flat, dtype=np.int32) if flat else np.empty(0, np.int32)
+    def packed(self) -> tuple[bytes, pa.Array]:
+        # forms of a block give way one by one, so that no two are held at once
+        self._number()
+        cut = [self.pairs.cut(self.words.slice(at, 50_000)) for at in range(0, len(self.words), 50_000)]
+        self.words = pa.array([], pa.string())
+        lengths = np.concatenate([np.empty(0, np.int32), *(n for n, _ in cut)])
+        units = pa.chunked_array([u for _, u in cut], pa.string()).dictionary_encode().combine_chunks()
+        del cut
+        terms, flat = units.dictionary, units.indices.to_numpy()
+        del units
         begins = np.cumsum(lengths, dtype=np.int32) - lengths
-        per_doc = np.array([lengths[t].sum() for t in self.texts], dtype=np.int64)
-        stream, used = np.empty(int(per_doc.sum()), dtype=np.int32), np.zeros(len(terms), dtype=np.int64)
-        self.texts.reverse()
-        for end, size in zip(np.cumsum(per_doc).tolist(), per_doc.tolist(), strict=True):
-            text = self.texts.pop()
-            stream[end - size : end] = flat[_spread(begins[text], lengths[text])]
+        per_batch = [int(lengths[x].sum()) for x in self.numbers]
+        stream, used = np.empty(sum(per_batch), dtype=np.int32), np.zeros(len(terms), dtype=np.int64)
+        per_doc, end = [np.empty(0, np.int64)], 0
+        self.numbers.reverse()
+        for sizes, size in zip(self.sizes, per_batch, strict=True):
+            words, end = self.numbers.pop(), end + size
+            own = lengths[words]
+            per_doc.append(np.diff(np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(sizes)])]))
+            stream[end - size : end] = flat[_spread(begins[words], own)]
+        per_doc = np.concatenate(per_doc)
         del flat, begins, lengths
         for part in _chunks(stream):
             used += np.bincount(part, minlength=len(terms))
@@ -160,13 +195,12 @@ class _Streams:
         rank = np.empty(len(terms), dtype=np.int32)
         rank[by_use] = np.arange(len(terms), dtype=np.int32)
         # neighbours with a common beginning compress well; long units come last and are encoded here
-        short = sorted([u for u in terms if len(u) <= FOLDED])
-        long = sorted([u for u in terms if len(u) > FOLDED])
+        order, is_long = pc.array_sort_indices(terms).to_numpy(), pc.greater(pc.utf8_length(terms), FOLDED).to_numpy(zero_copy_only=False)
+        order = np.concatenate([order[~is_long[order]], order[is_long[order]]])
         place = np.empty(len(terms), dtype=np.int32)
-        for units, first in ((short, 0), (long, len(short))):
-            place[np.fromiter(map(terms.__getitem__, units), np.int32, len(units))] = np.arange(first, first + len(units))
-        del terms
-        encoded = [self.by_hand(u, self.pieces) for u in long]
+        place[order] = np.arange(len(terms), dtype=np.int32)
+        terms, first_long = terms.take(pa.array(order)), len(terms) - int(is_long.sum())
+        encoded = [self.by_hand(u, self.pieces) for u in terms.slice(first_long).to_pylist()]
         for part in _chunks(stream):
             part[:] = rank[part]
         planes = np.empty(4 * stream.size, dtype=np.uint8)
@@ -176,7 +210,12 @@ class _Streams:
         marks = np.frombuffer(b"".join(self.hashes), dtype="<i4")
         return pack(
             per_doc, place[by_use], marks, [len(x) for x in encoded], [i for x in encoded for i in x], planes.view("<i4")
-        ), short
+        ), terms.slice(0, first_long)
+
+
+@lru_cache(maxsize=4)
+def _pairs_of(path: str) -> _Pairs:
+    return _Pairs(load_pieces(path).pairs)
 
 
 def _chunks(numbers: np.ndarray) -> list[np.ndarray]:
@@ -206,7 +245,10 @@ def lattice(units: DataFrame, table: DataFrame, longest: int) -> DataFrame:
     numbered = units.select(F.xxhash64("unit").alias("key"), "unit", F.length("unit").alias("n"))
     starts = numbered.select("key", "unit", "n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("at"))
     most = F.least(F.lit(longest), F.col("n") - F.col("at") + 1)
-    spans = starts.select("key", "unit", "n", "at", F.explode(F.sequence(F.lit(1), most)).alias("size"))
+    # a single character has no edge if it is told by a table; each unit keeps its first one, and so a row
+    alone = (F.col("at") == 1) | (F.ascii(F.substring("unit", F.col("at"), F.lit(1))) >= PLAIN)
+    least = F.when(alone, 1).otherwise(2)
+    spans = starts.where(alone | (most > 1)).select("key", "unit", "n", "at", F.explode(F.sequence(least, most)).alias("size"))
     named = spans.withColumn("piece", F.substring("unit", F.col("at"), F.col("size")))
     # the piece table is bounded by the model's vocabulary
     edges = named.join(F.broadcast(table), "piece", "left")
@@ -387,12 +429,23 @@ def decode(ids: Sequence[int], pieces: Pieces) -> str:
     return _decoder(pieces)(ids)
 
 
-def _decoder(pieces: Pieces):
+def _bytes_of(pieces: Pieces) -> list[bytes]:
     spelled = [b""] * (max([*pieces.ids.values(), *pieces.byte_ids], default=0) + 1)
     for p, i in pieces.ids.items():
         spelled[i] = p.replace(SPACE, " ").encode()
     for b, i in enumerate(pieces.byte_ids):
         spelled[i] = bytes([b])
+    return spelled
+
+
+@lru_cache(maxsize=4)
+def _spelled(path: str) -> pa.Array:
+    """The bytes of each id."""
+    return pa.array(_bytes_of(load_pieces(path)), pa.binary())
+
+
+def _decoder(pieces: Pieces):
+    spelled = _bytes_of(pieces)
     return lambda ids: b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")[1:]
 
 
@@ -429,35 +482,44 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     width = 2 if max([*pieces.ids.values(), *pieces.byte_ids]) < 1 << 16 else 4
     digits = F.transform("ids", lambda i: F.lpad(F.hex(i), 2 * width, "0"))
     values = values.select("unit", F.unhex(F.array_join(digits, "")).alias("ids"))
-    valued = terms.join(values, F.col("term") == F.col("unit")).select("block", "place", "ids")
+    valued = packed_by_block(terms.join(values, F.col("term") == F.col("unit")).select("block", "place", "ids"))
 
     def line_up(block: dict, values: pa.Table) -> pa.Table:
         per_doc, places, marks, long_sizes, long_flat, planes = unpack(block["packed"])
         n = int(per_doc.sum())
         planes = planes.view(np.uint8)[: 4 * n].reshape(4, n)
-        found = values["ids"].combine_chunks() if values.num_rows else pa.array([], pa.binary())
-        ends = np.frombuffer(found.buffers()[1], "<i4")[found.offset : found.offset + len(found) + 1] // width if len(found) else np.zeros(1, np.int64)
-        flat = np.frombuffer(found.buffers()[2], f">u{width}")[: ends[-1]].astype(np.int32) if len(found) else np.empty(0, np.int32)
+        where, found, data = unpacked(values)
+        found, flat = found // width, np.frombuffer(data, f">u{width}").astype(np.int32)
         at, sizes = np.zeros((2, len(places)), dtype=np.int32)
-        where = values["place"].to_numpy()
-        at[where], sizes[where] = ends[:-1], np.diff(ends)
+        at[where], sizes[where] = np.cumsum(found) - found, found
         first_long = len(places) - len(long_sizes)
         at[first_long:] = len(flat) + np.cumsum(long_sizes) - long_sizes
         sizes[first_long:] = long_sizes
         flat = np.concatenate([flat, long_flat])
-        hashes, text, byte_ids = marks.tobytes(), _decoder(load_pieces(path)), np.array(pieces.byte_ids)
+        hashes, spelled = marks.tobytes(), _spelled(path)
+        in_byte = np.zeros(len(spelled), dtype=np.int64)
+        in_byte[list(pieces.byte_ids)] = 1
         ids, counts, in_bytes, digests, same = [], [], [], [], []
-        begin = 0
-        for i, units in enumerate(per_doc.tolist()):
-            own = np.ascontiguousarray(planes[:, begin : begin + units].T).view("<i4").ravel()
-            begin += units
+        ends = np.cumsum([0, *per_doc])
+        doc = 0
+        while doc < len(per_doc):  # some texts at a time
+            last = max(int(np.searchsorted(ends, ends[doc] + AT_ONCE, "right")) - 1, doc + 1)
+            own = np.ascontiguousarray(planes[:, ends[doc] : ends[last]].T).view("<i4").ravel()
             unit = places[own]
             mine = flat[_spread(at[unit], sizes[unit])].astype(np.int32)
+            cuts = np.concatenate([[0], np.cumsum(sizes[unit])])[ends[doc : last + 1] - ends[doc]]
             ids.append(mine)
-            counts.append(len(mine))
-            in_bytes.append(int(np.isin(mine, byte_ids).sum()))
-            digests.append(hashlib.sha256(mine.astype("<i4").tobytes()).hexdigest())
-            same.append(hashlib.sha256(text(mine.tolist()).encode()).digest() == hashes[32 * i : 32 * i + 32])
+            counts.extend(np.diff(cuts).tolist())
+            in_bytes.extend(np.diff(np.concatenate([[0], np.cumsum(in_byte[mine])])[cuts]).tolist())
+            texts = spelled.take(pa.array(mine))
+            raw = memoryview(texts.buffers()[2] or b"")
+            marked = np.frombuffer(texts.buffers()[1], np.int32)[cuts].tolist() if len(mine) else [0] * len(cuts)
+            numbers, cuts = memoryview(mine.astype("<i4").tobytes()), cuts.tolist()
+            for i in range(last - doc):
+                digests.append(hashlib.sha256(numbers[4 * cuts[i] : 4 * cuts[i + 1]]).hexdigest())
+                again = hashlib.sha256(raw[marked[i] : marked[i + 1]][1:]).digest()  # without the leading blank
+                same.append(again == hashes[32 * (doc + i) : 32 * (doc + i + 1)])
+            doc = last
         ends = np.cumsum([0, *counts])
         ids_array = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
         doc_ids = pa.array(block["ids"], type={"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(id_type))

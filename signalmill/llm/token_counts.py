@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from signalmill.llm.blocks import BLOCK_WORDS, blocks_of, distinct_terms, finish, pack, terms_of, unpack
+from signalmill.llm.blocks import BLOCK_WORDS, blocks_of, dealt_terms, finish, pack, unpack
 from signalmill.llm.common import WORD
 
 #: Marks the term of a special token's string inside a text; pre-tokens never hold this character.
@@ -64,7 +64,7 @@ class _Frequencies:
     def full(self) -> bool:
         return len(self.words) >= BLOCK_WORDS
 
-    def packed(self) -> tuple[bytes, list[str]]:
+    def packed(self) -> tuple[bytes, pa.Array]:
         # words give way as they are cut, and frequencies are counted text by text, so that no two forms of a block are held at once
         words = list(self.words)[::-1]
         self.words = {}
@@ -94,7 +94,7 @@ class _Frequencies:
                 times.append(often.astype(np.int32))
                 last = int(token[-1])
         none = np.empty(0, np.int32)
-        return pack(self.sizes, per_doc, np.concatenate([none, *steps]), np.concatenate([none, *times])), order
+        return pack(self.sizes, per_doc, np.concatenate([none, *steps]), np.concatenate([none, *times])), pa.array(order, pa.string())
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,12 +113,13 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = _tokenizer(path).model.tokenize
         for batch in batches:
-            terms = batch.column(0).to_pylist()
-            counts = [1 if t[0] == _SPECIAL else len(cut(t)) for t in terms]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int32())], names=["term", "pieces"])
+            terms = batch.column("term").dictionary_encode()
+            counts = np.array([1 if t[0] == _SPECIAL else len(cut(t)) for t in terms.dictionary.to_pylist()], dtype=np.int32)
+            columns = [batch.column("block"), batch.column("place"), pa.array(counts[terms.indices.to_numpy()])]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "place", "pieces"])
 
-    values = distinct_terms(blocks).mapInArrow(pieces, "term string, pieces int")
-    valued = terms_of(blocks).join(values, "term").select("block", "place", "pieces")
+    # equal terms stand together, so that each is cut once, or once more where a batch ends
+    valued = dealt_terms(blocks).mapInArrow(pieces, "block long, place int, pieces int")
 
     def total(block: dict, values: pa.Table) -> pa.Table:
         sizes, per_doc, steps, times = unpack(block["packed"])
