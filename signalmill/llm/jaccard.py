@@ -1,6 +1,6 @@
 """N-gram Jaccard join: documents whose sets of word shingles have a Jaccard index of 0.75 or more, and their components.
 
-Sets are ordered rarest first: shingles seen in many documents come last, the
+Sets are ordered rarest first: shingles of many documents come last, the commonest at the end, the
 others stand by hash. Two similar sets share a shingle among the first few of each
 (prefix filter), at places early enough for the rest to suffice (positional filter), which
 is tested on the pairs that lists form; no part of a list is skipped by place. Two similar sets also share
@@ -34,10 +34,12 @@ from signalmill.llm.components import components
 WORDS = 5
 #: Similarity in percent.
 LEAST = 75
-#: Shingles of so many documents, as far as tasks see them by themselves, are put last. This changes the work, not the result.
+#: Shingles of so many documents are put last, the commonest at the end. This changes the work, not the result.
 COMMON = 24
-#: So many of the commonest are put last, which bounds what every task holds (8 bytes each).
+#: So many of the commonest are put last, which bounds what every task holds (16 bytes each).
 MOST_COMMON = 500_000
+#: Shingles are counted by so many of their highest bits.
+COUNTED_BITS = 40
 #: Up to so many ids are broadcast to fetch their texts; more are joined.
 BROADCAST_IDS = 500_000
 
@@ -98,22 +100,47 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
 
-def common_shingles(rows: DataFrame) -> np.ndarray:
-    """The commonest shingles, sorted. Tasks report what they see more than once; sums over all tasks decide.
+def _cut_in_shares(short: np.ndarray, bits: int, shares: int) -> list[tuple[int, int, int]]:
+    """Share, begin and end of each run of sorted ``short`` that falls into one of equal parts of the token range."""
+    rest = max(bits - 31, 0)  # shares are told by the highest bits alone
+    share_of = (short >> np.uint64(rest)) * np.uint64(shares) >> np.uint64(bits - rest)
+    cuts = np.searchsorted(share_of, np.arange(shares + 1, dtype=np.uint64)).tolist()
+    return [(share, a, b) for share, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+
+
+def _gaps(short: np.ndarray) -> bytes:
+    """Sorted numbers as compressed gaps, byte by byte."""
+    gaps = np.diff(short, prepend=np.uint64(0)).astype("<u8")
+    planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _from_gaps(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 8 * n, codec="zstd"), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
 
-    Any choice gives the same links, since it only has to be the same for all sets.
+def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The commonest shingles, shortened and sorted, and how many texts have each; both are broadcast.
+
+    Every shingle of every text is counted, however few of its texts a task sees: tasks send what they have as packed gaps to
+    shares of the token range, where it is added up. Any choice gives the same links, since it only has to be the same for
+    all sets; so shortened shingles that agree by chance, one in a hundred of ten billion, do no harm.
     """
+    shares = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = _Hashes(), [], 0
 
         def report() -> pa.RecordBatch:
-            found, times = np.unique(np.concatenate([np.empty(0, np.uint64), *held]), return_counts=True)
-            again = times > 1
-            columns = [pa.array(found[again].view(np.int64)), pa.array(times[again].astype(np.int64))]
-            return pa.RecordBatch.from_arrays(columns, names=["token", "n"])
+            # equal ones follow one another with gaps of 0, so that they need no count of their own
+            short = np.sort(np.concatenate([np.empty(0, np.uint64), *held])) >> np.uint64(64 - COUNTED_BITS)
+            runs = _cut_in_shares(short, COUNTED_BITS, shares)
+            columns = [pa.array([r[0] for r in runs], pa.int32()), pa.array([b - a for _, a, b in runs], pa.int32())]
+            columns.append(pa.array([_gaps(short[a:b]) for _, a, b in runs], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["share", "n", "gaps"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column(0):
                 held.append(shingles(text.as_py(), hashes))
                 size += len(held[-1])
@@ -122,12 +149,33 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
                     held, size = [], 0
         yield report()
 
-    seen = rows.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    most = seen.where(F.col("n") >= COMMON).orderBy(F.col("n").desc(), "token").limit(MOST_COMMON)
-    return np.sort(most.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
-
-
-def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
+    def count(table: pa.Table) -> pa.Table:
+        held, times = np.empty(0, np.uint64), np.empty(0, np.int64)
+        waiting, size = [], 0
+
+        def add(more: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+            found, n = np.unique(np.concatenate(more), return_counts=True)
+            both = np.concatenate([held, found])
+            known, number = np.unique(both, return_inverse=True)
+            return known, np.bincount(number, np.concatenate([times, n]), len(known)).astype(np.int64)
+
+        for n, gaps in zip(table["n"].to_pylist(), table["gaps"], strict=True):
+            waiting.append(_from_gaps(gaps.as_py(), n))
+            size += n
+            if size > 2_000_000 + len(held):
+                held, times = add(waiting)
+                waiting, size = [], 0
+        held, times = add(waiting) if waiting else (held, times)
+        often = times >= COMMON
+        return pa.table({"token": pa.array(held[often].astype(np.int64)), "n": pa.array(times[often])})
+
+    sent = rows.select("text").mapInArrow(send, "share int, n int, gaps binary")
+    seen = sent.groupBy("share").applyInArrow(count, "token long, n long")
+    most = seen.orderBy(F.col("n").desc(), "token").limit(MOST_COMMON).toPandas().sort_values("token")
+    return most["token"].to_numpy(np.int64).astype(np.uint64), most["n"].to_numpy(np.int64)
+
+
+def shingle_sets(rows: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """block, doc_id, n_shingles, node (a hash of the set; null if empty), prefix, bits (a sketch of the set).
 
     ``prefix`` and ``bits`` are null where the task has seen the same set before.
@@ -135,7 +183,7 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(common)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, late, seen = _Hashes(), shared.value, set()
+        hashes, (late, often), seen = _Hashes(), shared.value, set()
         block, held = TaskContext.get().partitionId() << 32, 0
         for batch in sliced(batches):
             sizes, nodes, prefixes, sketches = [], [], [], []
@@ -153,11 +201,14 @@ def shingle_sets(rows: DataFrame, common: np.ndarray) -> DataFrame:
                     seen.add(node)
                 is_late = np.zeros(n, bool)
                 if len(late):
-                    is_late = late[np.minimum(np.searchsorted(late, found), len(late) - 1)] == found
+                    short = found >> np.uint64(64 - COUNTED_BITS)
+                    at = np.minimum(np.searchsorted(late, short), len(late) - 1)
+                    is_late = late[at] == short
                 size = n - needed(n) + 1
                 first = found[~is_late][:size]
                 if len(first) < size:
-                    first = np.concatenate([first, found[is_late][: size - len(first)]])
+                    rarest = np.argsort(often[at[is_late]], kind="stable")[: size - len(first)]
+                    first = np.concatenate([first, found[is_late][rarest]])
                 prefixes.append(first.view(np.int64))
                 sketches.append(parity(found))
             columns = [pa.array([block] * len(sizes), pa.int64()), batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
@@ -189,19 +240,11 @@ def shared_entries(sets: DataFrame) -> DataFrame:
     total = blocks.agg(F.sum(F.size("prefix"))).first()[0] or 0
     shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = min(total.bit_length() + 7, 63)
-    rest = max(bits - 31, 0)  # shares are told by the highest bits alone
 
     def send(table: pa.Table) -> pa.Table:
         short, times = np.unique(_shortened(table["prefix"], bits), return_counts=True)
-        share_of = (short >> np.uint64(rest)) * np.uint64(shares) >> np.uint64(bits - rest)
-        cuts = np.searchsorted(share_of, np.arange(shares + 1, dtype=np.uint64))
-        rows = []
-        for share, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-            if a < b:
-                gaps = np.diff(short[a:b], prepend=np.uint64(0)).astype("<u8")
-                planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T)
-                again = np.packbits(times[a:b] > 1).tobytes()
-                rows.append((share, b - a, pa.compress(planes, codec="zstd", asbytes=True), again))
+        runs = _cut_in_shares(short, bits, shares)
+        rows = [(share, b - a, _gaps(short[a:b]), np.packbits(times[a:b] > 1).tobytes()) for share, a, b in runs]
         share, n, gaps, again = zip(*rows, strict=True) if rows else ((), (), (), ())
         columns = [pa.array([table["block"][0].as_py()] * len(rows), pa.int64()), pa.array(share, pa.int32()), pa.array(n, pa.int32())]
         return pa.table([*columns, pa.array(gaps, pa.binary()), pa.array(again, pa.binary())], names=["block", "share", "n", "gaps", "again"])
@@ -209,8 +252,7 @@ def shared_entries(sets: DataFrame) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         sizes, held, again = table["n"].to_pylist(), [], []
         for n, gaps, more in zip(sizes, table["gaps"].to_pylist(), table["again"].to_pylist(), strict=True):
-            planes = np.frombuffer(pa.decompress(gaps, 8 * n, codec="zstd"), np.uint8).reshape(8, n)
-            held.append(np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64))
+            held.append(_from_gaps(gaps, n))
             again.append(np.unpackbits(np.frombuffer(more, np.uint8), count=n).astype(bool))
         _, number, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
         shared = times > 1

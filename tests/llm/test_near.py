@@ -274,3 +274,20 @@ def test_similar_sets_share_enough_first_shingles():
         first = [sorted(x)[: len(x) - jaccard.needed(len(x)) + 1] for x in (a, b)]
         shared = len(set(first[0]) & set(first[1]))
         assert 28 * shared >= min(12 * len(a) - 9 * len(b), 12 * len(b) - 9 * len(a)) + 7
+
+
+def test_common_shingles_are_counted_over_all_tasks(spark, monkeypatch):
+    # each task sees a shared shingle once, so that no task could tell by itself that it is common
+    monkeypatch.setattr(jaccard, "COMMON", 6)
+    shared = [("shared one two three four", 12), ("seldom one two three four", 5)]
+    texts = [" ".join([f"own{i} a b c d", *(s for s, n in shared if i < n)]) for i in range(12)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(12, "doc_id").cache()
+    counts = {}
+    for t in texts:
+        for h in shingles(t, jaccard._Hashes()).tolist():
+            short = h >> (64 - jaccard.COUNTED_BITS)
+            counts[short] = counts.get(short, 0) + 1
+    tokens, n = jaccard.common_shingles(rows)
+    assert dict(zip(tokens.tolist(), n.tolist(), strict=True)) == {t: k for t, k in counts.items() if k >= 6}
+    assert tokens.tolist() == sorted(tokens.tolist()) and 12 in n.tolist()
+    rows.unpersist()
