@@ -8,8 +8,8 @@ so many of these shingles that few other pairs are left. Which shingles have a l
 sorted, shortened shingles in packed shares, before any list is made.
 
 Answers are derived, not recomputed, for sets that are highly similar to one already answered. Each list is
-first checked against one pivot only. What links becomes a cluster around a hub, at a
-known distance from it. A list within one cluster is skipped as a whole; the others meet a new pivot, up to a few turns.
+first checked against one pivot only, the set that shares most of its first shingles. What links becomes a cluster around
+a hub, its set with the most links, and each is at a known distance from it. A list within one cluster is skipped as a whole; the others meet a new pivot, up to a few turns.
 Then clusters are compared by their hubs. Two whose hubs link are one; two are skipped if their hubs are exactly so far
 apart that no two members can be close, as Jaccard distance is a metric. Only members for which it leaves a doubt are
 compared, by sketches first. In a group of many sets that are just not similar, these are still pairs of its members.
@@ -229,7 +229,7 @@ def _shortened(prefixes: pa.ChunkedArray, bits: int) -> np.ndarray:
 
 
 def shared_entries(sets: DataFrame) -> DataFrame:
-    """node, n, place, token: the first shingles that more than one set may have.
+    """node, n, place, token, whole: the first shingles that more than one set may have, and how many of 1000 first ones of its set do.
 
     Each block sends its sorted tokens, shortened and as gaps, in one row per share of the token range, and gets a
     bit per token back. A token goes out once per block, so none is hot. Shortened tokens are long enough that about one in a hundred
@@ -273,12 +273,14 @@ def shared_entries(sets: DataFrame) -> DataFrame:
         lengths = lists.value_lengths().to_numpy()
         of = np.repeat(np.arange(len(lengths)), lengths)[at]
         place = at - (np.cumsum(lengths) - lengths)[of]
+        whole = 1000 * np.bincount(of, minlength=len(lengths)) // np.maximum(lengths, 1)
         columns = [pa.array(table[c].to_numpy()[of]) for c in ("node", "n")]
-        return pa.table([*columns, pa.array(place, pa.int32()), lists.flatten().take(pa.array(at))], names=["node", "n", "place", "token"])
+        columns += [pa.array(place, pa.int32()), lists.flatten().take(pa.array(at)), pa.array(whole[of], pa.int32())]
+        return pa.table(columns, names=["node", "n", "place", "token", "whole"])
 
     sent = blocks.groupBy("block").applyInArrow(send, "block long, share int, n int, gaps binary, again binary")
     marks = sent.groupBy("share").applyInArrow(answer, "block long, share int, n int, marks binary")
-    return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(pick, "node long, n long, place int, token long")
+    return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(pick, "node long, n long, place int, token long, whole int")
 
 
 def _distance_bound(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column) -> Column:
@@ -355,18 +357,32 @@ class _Join:
     def lists(self, entries: DataFrame, turn: int) -> DataFrame:
         """Entries of the lists that lead from one cluster to another, each with the pivot of its list.
 
-        First this is the least node of a list, so that lists of the same sets share it. In later turns each token orders nodes in a
-        way of its own, so that a set meets many pivots.
+        First this is the set with the most first shingles in common with others: among many edited copies of a text that is the
+        one edited least, which links to more of them than any other, and lists of the same sets share it. In later turns each
+        token orders nodes in a way of its own, so that a set meets many pivots.
         """
-        mask = F.lit(0).cast("long") if not turn else F.col("token") if turn % 2 else F.bitwise_not("token")
+        mask = F.col("token") if turn % 2 else F.bitwise_not("token")
+        order = F.col("node").bitwiseXOR(mask) if turn else -_ranked(F.col("whole"), "node")
         ends = entries.groupBy("token").agg(
-            F.min("hub").alias("low"), F.max("hub").alias("high"), F.min(F.col("node").bitwiseXOR(mask)).alias("mark")
+            F.min("hub").alias("low"), F.max("hub").alias("high"), F.min_by("node", order).alias("pivot")
         )
-        ends = ends.where("low <> high").select(F.col("token").alias("t"), F.col("mark").bitwiseXOR(mask).alias("pivot"))
+        ends = ends.where("low <> high").select(F.col("token").alias("t"), "pivot")
         ends = staged(ends, "live-lists")  # its size is known then: while it is small, entries are not shuffled to meet it
         found = entries.join(ends, F.col("token") == F.col("t"))
         return staged(found.select("token", "node", "place", "n", "hub", "pivot"), "list-entries")
 
+    def clusters(self, links: DataFrame) -> DataFrame:
+        """node, component: for each linked node the hub of its cluster, which is the node with the most links.
+
+        Hubs from which members are not far leave the least doubt about them.
+        """
+        found = staged(components(links), "components")
+        ends = links.select(F.col("a").alias("x")).unionByName(links.select(F.col("b").alias("x")))
+        linked = ends.groupBy("x").agg(F.count("*").alias("times"))
+        hubs = found.join(linked, F.col("node") == F.col("x")).groupBy(F.col("component").alias("c"))
+        hubs = hubs.agg(F.max_by("node", _ranked(F.col("times"), "node")).alias("hub"))
+        return staged(found.join(hubs, F.col("component") == F.col("c")).select("node", F.col("hub").alias("component")), "clusters")
+
     def with_sets(self, members: DataFrame | None, pairs: DataFrame) -> DataFrame:
         """``members`` and the full sets of whatever else the pairs name."""
         wanted = _ends(pairs)
@@ -397,7 +413,7 @@ class _Join:
             if turn and found.isEmpty():
                 break
             links = found if links is None else links.unionByName(found)
-            clusters = staged(components(links), "clusters")
+            clusters = self.clusters(links)
             own = clusters.select(F.col("node").alias("x"), "component")
             named = entries.drop("hub", "pivot").join(own, F.col("node") == F.col("x"), "left")
             entries = self.lists(named.select("token", "node", "place", "n", F.coalesce("component", "node").alias("hub")), turn + 1)
@@ -451,6 +467,11 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
 
 
+def _ranked(first: Column, node: str) -> Column:
+    """Orders by a number below 2 ** 22, then by the lowest bits of a hash."""
+    return F.least(first, F.lit((1 << 22) - 1)) * F.lit(1 << 40) + F.col(node).bitwiseAND((1 << 40) - 1)
+
+
 def _sized(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}")), side)

@@ -291,3 +291,33 @@ def test_common_shingles_are_counted_over_all_tasks(spark, monkeypatch):
     assert dict(zip(tokens.tolist(), n.tolist(), strict=True)) == {t: k for t, k in counts.items() if k >= 6}
     assert tokens.tolist() == sorted(tokens.tolist()) and 12 in n.tolist()
     rows.unpersist()
+
+
+def test_edited_copies_meet_the_one_edited_least(spark, monkeypatch):
+    """Of many copies, some too much edited to be similar to any, few are compared with each other; the links are those of brute force."""
+    rng, words, texts = random.Random(11), [f"b{i}" for i in range(150)], []
+    for k in range(160):
+        copy = list(words)
+        for at in rng.sample(range(150), k % 10):
+            copy[at] = f"x{k}-{at}"
+        texts.append(" ".join(copy))
+    monkeypatch.setattr(jaccard, "COMMON", 6)
+    met, described = [], jaccard._Join.described
+    monkeypatch.setattr(jaccard._Join, "described", lambda self, pairs: met.append(pairs.count()) or described(self, pairs))
+    found = similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    sets = [set(shingles(t, jaccard._Hashes()).tolist()) for t in texts]
+    pairs = itertools.combinations(range(len(texts)), 2)
+    links = [(i, j) for i, j in pairs if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert {r["doc_id"]: r["component_id"] for r in found} == smallest(range(len(texts)), links)
+    assert len(links) > 2000 and sum(met) < 4 * len(texts), met
+
+
+def test_the_first_pivot_shares_most_and_hubs_have_most_links(spark):
+    join = object.__new__(jaccard._Join)
+    # token, node, place, n, hub, whole
+    entries = [(t, node, 0, 100, node, whole) for t in (1, 2) for node, whole in ((-5, 300), (7, 900), (9, 500))]
+    entries = spark.createDataFrame(entries, "token long, node long, place int, n long, hub long, whole int")
+    assert {r["pivot"] for r in join.lists(entries, 0).collect()} == {7}
+    links = spark.createDataFrame([(-5, 7), (7, 9), (8, 7), (20, 21)], "a long, b long")
+    found = {r["node"]: r["component"] for r in join.clusters(links).collect()}
+    assert {found[n] for n in (-5, 7, 8, 9)} == {7} and found[20] == found[21]
