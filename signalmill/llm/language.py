@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalmill.llm.common import TEXTS_PER_BATCH
+
 WIDTH = 4096
 UNKNOWN = "und"
 #: Rows that the model is fitted on, in equal parts per language; the one bound of the training.
@@ -101,6 +103,13 @@ def fit(x: np.ndarray, labels: list[str], rounds: int = 300, decay: float = 1e-5
 
 def predict(model: Model, texts: list[str | None]) -> list[tuple[str, float, bool]]:
     """Language, score and whether the two nearest codewords are close."""
+    out: list[tuple[str, float, bool]] = []
+    for at in range(0, len(texts), TEXTS_PER_BATCH):  # a text's n-grams take 16 KB, whatever its length
+        out += _predicted(model, texts[at : at + TEXTS_PER_BATCH])
+    return out
+
+
+def _predicted(model: Model, texts: list[str | None]) -> list[tuple[str, float, bool]]:
     out: list[tuple[str, float, bool]] = [(UNKNOWN, 0.0, True)] * len(texts)
     found = [(i, f) for i, t in enumerate(texts) if t and (f := features(t)) is not None]
     if not found or not model.languages:
@@ -140,6 +149,7 @@ def train(
     def vector(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if (f := features(t)) is None else f.astype(np.float16).tobytes())
 
+    vector = vector.asNondeterministic()  # else the filter below makes Spark compute it twice
     drawn = usable.where(draw < F.element_at(rates, F.col(lang_col)))
     rows = drawn.select(F.col(lang_col).alias("lang"), vector(text_col).alias("v")).where("v IS NOT NULL").collect()
     rows = sorted((r["lang"], bytes(r["v"])) for r in rows)
@@ -148,13 +158,17 @@ def train(
 
 
 def identified(model: Model, text: Column | str) -> Column:
-    """struct<lang_pred, score, ambiguous> of a text column."""
+    """struct<lang_pred, score, ambiguous> of a text column.
+
+    It is declared nondeterministic, though equal texts get equal results: Spark would push a filter on
+    the result below the column and classify every text twice, in two Python workers at once.
+    """
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def identify(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(predict(model, texts.tolist()), columns=["lang_pred", "score", "ambiguous"])
 
-    return identify(text)
+    return identify.asNondeterministic()(text)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

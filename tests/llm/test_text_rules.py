@@ -4,11 +4,13 @@ import itertools
 import math
 import re
 import textwrap
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from check import compare, sql_tables
 from conftest import FOLDER
 from signalmill.llm import personal
@@ -228,3 +230,21 @@ def test_weighted_documents_are_taken_more_often(spark):
     found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string, value double"), doc_weight="value")
     rate = {r["heavy"]: r["c"] for r in found.groupBy((F.col("doc_id") % 4 < 2).alias("heavy")).agg(F.avg("copies").alias("c")).collect()}
     assert rate[True] > 2 * rate[False]
+
+
+def test_few_feature_vectors_are_held_at_once():
+    model = fit(np.array([features(t) for t in ("aaa bbb", "ccc ddd")]), ["x", "y"])
+    tracemalloc.start()
+    try:
+        found = predict(model, ["bb aa", "dd cc", None] * 700)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [f[0] for f in found] == ["x", "y", "und"] * 700
+    assert peak < 20e6, peak
+
+
+def test_the_pipeline_classifies_each_text_once(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = corpus_pipeline.known_language(spark, docs, folder)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
